@@ -171,8 +171,8 @@ def answer(
     found = filtered(df, TABLES[table], filters or {})
     if table in ("symptoms", "population_pyramid_variation"):
         return found
-    order = [c for c in ("-date", *TABLES[table]) if c.lstrip("-") in df.columns]
-    order = list({c.lstrip("-"): c for c in reversed(order)}.values())[::-1]
+    order = ["-date"] if "date" in df.columns else []
+    order += [c for c in TABLES[table] if c != "date"]
     return projected(paged(found, order, limit, page), fields)
 
 
