@@ -316,12 +316,13 @@ def outbreaks(pages: DataFrame) -> DataFrame:
     )
 
 
-def clinic_description(pages: DataFrame) -> DataFrame:
-    """Symptoms by gender, from the reports that print them legibly."""
-    first, last = d.SYMPTOM_REPORTS
-    found = pages_of_table(
-        normalised(pages.filter(F.col("report_id").between(first, last))), 2
-    )
+def clinic_description(
+    pages: DataFrame, numbers: tuple[int, int] | None = d.SYMPTOM_REPORTS
+) -> DataFrame:
+    """Symptoms by gender, from the report numbers that print them legibly."""
+    if numbers:
+        pages = pages.filter(F.col("report_id").between(*numbers))
+    found = pages_of_table(normalised(pages), 2)
     text = F.lower(F.regexp_replace("text", d.SYMPTOM_NOISE, ""))
     text = replace_words(replace_literals(text, d.ILLNESS_PHRASES), d.SYMPTOM_PHRASES)
     pages_words = found.select("report_id", "report_date", F.split(text, " +").alias("_w"))
@@ -383,11 +384,15 @@ def symptom_rows(words: DataFrame) -> DataFrame:
 TITLE_6 = [("6a. ", "6. "), ("6 a.", "6. "), ("6, ", "6. ")]
 
 
-def transmission_indicators(pages: DataFrame) -> DataFrame:
-    """Contact tracing indicators per region."""
-    found = pages_of_table(
-        normalised(pages.filter(F.col("report_id") >= d.TRANSMISSION_FIRST_REPORT)), 6
-    ).withColumn("text", replace_literals(F.col("text"), TITLE_6))
+def transmission_indicators(
+    pages: DataFrame, first: int | None = d.TRANSMISSION_FIRST_REPORT
+) -> DataFrame:
+    """Contact tracing indicators per region, from report number ``first`` on."""
+    if first is not None:
+        pages = pages.filter(F.col("report_id") >= first)
+    found = pages_of_table(normalised(pages), 6).withColumn(
+        "text", replace_literals(F.col("text"), TITLE_6)
+    )
     rows = region_rows(found)
 
     def spread(median: int, quartiles: int) -> Column:
