@@ -78,14 +78,38 @@ def with_position(index: DataFrame) -> DataFrame:
     )
 
 
+def located_table(pages: DataFrame, title: str) -> DataFrame:
+    """(report_id, table_no, page_no, position) of the table with the title.
+
+    The same answer as picking from :func:`named_tables`, looking up
+    :func:`numbered_tables` and adding :func:`with_position`, but the page
+    texts are scanned once. The windows run over title numbers, not pages.
+    """
+    number = F.regexp_extract(F.regexp_extract("text", title, 0), r"^Tabla ([0-9]+)", 1)
+    numbers = F.array_distinct(F.regexp_extract_all("text", F.lit(d.NUMBERED_TITLE), F.lit(1)))
+    titles = pages.select(
+        "report_id", "page_no", number.alias("_named"), F.explode(numbers).alias("_n")
+    )
+    index = titles.groupBy("report_id", F.col("_n").cast("int").alias("table_no")).agg(
+        F.max("page_no").alias("page_no"),
+        F.min(F.when(F.col("_n") == F.col("_named"), F.col("page_no"))).alias("_first"),
+    )
+    report = Window.partitionBy("report_id")
+    return (
+        with_position(index)
+        .withColumn("_earliest", F.min("_first").over(report))
+        .filter(F.col("_first") == F.col("_earliest"))
+        .drop("_first", "_earliest")
+    )
+
+
 def pages_of_named_table(pages: DataFrame, name: str, following: int = 0) -> DataFrame:
     """Page of a named table per report, with the pages that follow it.
 
     The page joins back on its own key. Pages without any title are dropped
     before that join unless a following page is wanted.
     """
-    wanted = named_tables(pages, {name: d.TABLE_TITLES[name]}).drop("table_name")
-    target = with_position(numbered_tables(pages)).join(wanted, ["report_id", "table_no"])
+    target = located_table(pages, d.TABLE_TITLES[name])
     parts = F.sequence(F.lit(0), F.lit(following))
     target = target.select(
         "report_id", "table_no", "position", "page_no", F.explode(parts).alias("part")

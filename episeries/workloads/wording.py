@@ -223,6 +223,15 @@ def table_index(spark, sf):
     return reports.numbered_tables(line_pages(spark, sf))
 
 
+@workload("named_tables", f"""
+    WITH {LINES} SELECT report_id, 'hospital_pressure' AS table_name,
+                        arg_min(table_no, page_no) AS table_no
+    FROM pages_ WHERE named GROUP BY report_id
+""")
+def named_tables(spark, sf):
+    return reports.named_tables(line_pages(spark, sf))
+
+
 @workload("named_page", f"""
     WITH {LINES}, named AS (SELECT report_id, arg_min(table_no, page_no) AS table_no
                             FROM pages_ WHERE named GROUP BY report_id)
