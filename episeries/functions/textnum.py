@@ -15,11 +15,8 @@ from pyspark.sql import functions as F
 
 from episeries.functions.domains import DATE_LEADS, MONTHS
 
-# All Unicode blanks, written so that Java and RE2 regexes read it alike.
-BLANKS = (
-    r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
-    r"\x{202f}\x{205f}\x{3000}]+"
-)
+# All Unicode blanks and the separator controls.
+BLANKS = r"(?U)[\s\x1c-\x1f]+"
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -10,7 +10,7 @@ from episeries.functions.measures import percentage
 from episeries.functions.textnum import bind, iso_date, month_name_date
 from episeries.operators.combine import lookup_join
 from episeries.operators.recode import (
-    different_from, equal_to, recode, recode_patterns, recoded, rename, strip_prefix,
+    equal_to, recode, recode_patterns, recoded, rename, strip_prefix,
 )
 from episeries.operators.reshape import pivot_unique
 from episeries.operators.totals import cube_totals, group_sum
@@ -148,10 +148,13 @@ def kept_positions(header: Column) -> Column:
 def band_names(header: Column) -> Column:
     """Header names as age bands, by the layout the header shows."""
     new = F.exists(header, lambda h: F.contains(h, F.lit(d.AGE_BANDS_NEW_MARK)))
-    last = F.element_at(header, -1)
-    return F.transform(header, lambda h: F.when(h == last, F.lit(d.TOTAL)).otherwise(
-        F.when(new, recoded(h, d.AGE_BANDS_NEW)).otherwise(recoded(h, d.AGE_BANDS_OLD))
-    ))
+
+    def names(bands: dict[str, str]) -> Column:
+        return F.transform(header, lambda h: F.when(
+            h == F.element_at(header, -1), F.lit(d.TOTAL)
+        ).otherwise(recoded(h, bands)))
+
+    return F.when(new, names(d.AGE_BANDS_NEW)).otherwise(names(d.AGE_BANDS_OLD))
 
 
 def vaccination_ages(sheets: DataFrame, doses: str) -> DataFrame:
@@ -164,29 +167,33 @@ def vaccination_ages(sheets: DataFrame, doses: str) -> DataFrame:
     rows = sheets.filter(
         (F.col("sheets") > 3) & (F.col("sheet_no") == F.col("sheets") - from_end)
     )
-    cells = F.transform(
-        kept_positions(F.col("header")),
-        lambda i: F.struct(
-            F.get("_bands", i).alias("age_range"), F.get("cells", i).alias("cell")
-        ),
-    )
-    rows = (
-        rows.withColumn("_bands", band_names(F.col("header")))
-        .select(
-            date_in_name(F.col("file_name")).alias("date"),
-            recoded(F.get("cells", F.lit(0)), d.SHEET_REGION_LABELS).alias("autonomous_region"),
-            bind(cells, lambda x: F.filter(x, lambda _, i: i > 0)).alias("_cells"),
+    def kept(header: Column, cells: Column, bands: Column) -> Column:
+        return F.transform(
+            kept_positions(header),
+            lambda i: F.struct(
+                F.get(bands, i).alias("age_range"), F.get(cells, i).alias("cell")
+            ),
         )
-    )
-    rows = different_from(rows, "autonomous_region", d.ARMED_FORCES)
-    rows = rows.filter(
-        F.col("autonomous_region").isNotNull()
-        & ~F.exists("_cells", lambda c: c["cell"].isNull())
-    )
+
+    def entries(row: Column) -> Column:
+        region = recoded(F.get(row, F.lit(0))["cell"], d.SHEET_REGION_LABELS)
+        bands = F.slice(row, 2, F.size(row))
+        usable = (region != d.ARMED_FORCES) & ~F.exists(bands, lambda b: b["cell"].isNull())
+        return F.when(usable, F.transform(bands, lambda b: F.struct(
+            F.trim(region).alias("autonomous_region"), b["age_range"].alias("age_range"),
+            b["cell"].alias("cell"),
+        )))
+
+    # Arrays are bound, or a lambda would rebuild them per cell; unusable rows
+    # become NULL, which explodes to nothing, as a filter would be evaluated
+    # apart from the projection.
+    pairs = bind(F.col("header"), lambda header: bind(F.col("cells"), lambda cells: bind(
+        band_names(header), lambda bands: kept(header, cells, bands)
+    )))
     return rows.select(
-        "date", F.trim("autonomous_region").alias("autonomous_region"),
-        F.explode("_cells").alias("_c"),
+        date_in_name(F.col("file_name")).alias("date"),
+        F.inline(bind(pairs, entries)),
     ).select(
-        "date", "autonomous_region", F.col("_c.age_range").alias("age_range"),
-        (F.lit(100.0) * F.col("_c.cell").try_cast("double")).alias("percentage"),
+        "date", "autonomous_region", "age_range",
+        (F.lit(100.0) * F.col("cell").try_cast("double")).alias("percentage"),
     )

@@ -371,10 +371,10 @@ def symptom_rows(words: DataFrame) -> DataFrame:
         .otherwise(1).alias("_samples"),
         F.array_position(w, F.lit("hombres")).alias("_men"),
         F.array_position(w, F.lit("mujeres")).alias("_women"),
-    ).filter(
-        F.col("_t").isNotNull() & (F.col("_men") > 0) & (F.col("_women") > 0)
     )
-    rows = rows.withColumn("symptom", F.explode(F.array_intersect(codes, F.col("_t"))))
+    both = (F.col("_men") > 0) & (F.col("_women") > 0)
+    listed = F.when(both, F.array_intersect(codes, F.col("_t")))
+    rows = rows.withColumn("symptom", F.explode(listed))
     start = (F.array_position("_t", F.col("symptom")) + F.col("_samples")).cast("int")
     six = rows.withColumn("_s", start).select(
         "report_id", F.col("report_date").alias("date"), "symptom",

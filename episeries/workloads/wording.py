@@ -12,7 +12,12 @@ from episeries.sources.files import date_in_name, number_in_name
 from episeries.sources.links import link_table
 from episeries.workloads.registry import rounded, table, workload
 
-CLEAN = rf"trim(regexp_replace(replace(text, chr(10), ''), '{t.BLANKS}', ' ', 'g'))"
+# The blanks of BLANKS, spelt out for an engine without Unicode classes.
+BLANKS = (
+    r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+    r"\x{202f}\x{205f}\x{3000}]+"
+)
+CLEAN = f"trim(regexp_replace(replace(text, chr(10), ''), '{BLANKS}', ' ', 'g'))"
 
 
 @workload("date_parse", """
@@ -113,15 +118,17 @@ def tokens(spark, sf):
     FROM lineitem
 """)
 def locale_number(spark, sf):
-    comma = F.translate(F.format_string("%.2f", F.round("l_extendedprice", 2)), ".", ",")
+    comma = F.translate(F.col("l_extendedprice").cast("decimal(18,2)").cast("string"), ".", ",")
     text = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber",
         F.translate(
             F.format_number(F.round(F.col("l_extendedprice") * 100).cast("long"), 0), ",", "."
         ).alias("whole"),
         comma.alias("price"),
-        F.concat(F.translate(F.format_string("%.2f", F.col("l_discount") * 100), ".", ","),
-                 F.lit("%")).alias("share"),
+        F.concat(
+            F.translate((F.col("l_discount") * 100).cast("decimal(18,2)").cast("string"), ".", ","),
+            F.lit("%"),
+        ).alias("share"),
         F.col("l_returnflag").alias("letter"),
     )
     return text.select(
