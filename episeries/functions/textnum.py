@@ -24,6 +24,15 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def whole_number(text: Column, kind: str = "long") -> Column:
+    """Digits as a number, anything else as NULL.
+
+    The test comes first because a failing cast raises inside the JVM, which
+    costs far more than a regex when many values are no numbers.
+    """
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast(kind))
+
+
 def iso_date(text: Column) -> Column:
     return F.try_to_date(text, "yyyy-MM-dd")
 
@@ -99,7 +108,7 @@ def _without_percent(text: Column) -> Column:
 def locale_long(text: Column, thousands: str = ".") -> Column:
     """``1.234`` or ``1.234%`` as 1234; NULL if it is no number."""
     plain = F.replace(_without_percent(text), F.lit(thousands), F.lit(""))
-    return F.when(plain.rlike(r"^[+-]?[0-9]+$"), plain.try_cast("long"))
+    return whole_number(plain)
 
 
 def locale_double(text: Column, decimal: str = ",", thousands: str | None = None) -> Column:
@@ -108,18 +117,16 @@ def locale_double(text: Column, decimal: str = ",", thousands: str | None = None
     if thousands:
         plain = F.replace(plain, F.lit(thousands), F.lit(""))
     plain = F.replace(plain, F.lit(decimal), F.lit("."))
-    return F.when(
-        plain.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
-        plain.try_cast("double"),
-    )
+    # A bare cast would also take words such as NaN and suffixes such as 1d.
+    return F.when(plain.rlike(r"^[-+.0-9eE]+$"), plain.try_cast("double"))
 
 
 def numeric_range(text: Column) -> Column:
     """``(2-5)`` as struct(low, high); both NULL if there is no range."""
     pattern = r"([0-9]+)-([0-9]+)"
     return F.struct(
-        F.regexp_extract(text, pattern, 1).try_cast("long").alias("low"),
-        F.regexp_extract(text, pattern, 2).try_cast("long").alias("high"),
+        whole_number(F.regexp_extract(text, pattern, 1)).alias("low"),
+        whole_number(F.regexp_extract(text, pattern, 2)).alias("high"),
     )
 
 
@@ -140,8 +147,8 @@ def spanish_date(raw: Column) -> Column:
     from_digits = F.concat_ws(
         "-", *[F.regexp_extract(raw, dashed, g) for g in (3, 2, 1)]
     )
-    return F.coalesce(
-        F.try_to_date(from_words, "yyyy-M-d"), F.try_to_date(from_digits, "yyyy-M-d")
+    return F.when(raw.rlike(worded), F.try_to_date(from_words, "yyyy-M-d")).when(
+        raw.rlike(dashed), F.try_to_date(from_digits, "yyyy-M-d")
     )
 
 

@@ -19,7 +19,7 @@ from episeries.functions import domains as d
 from episeries.functions.measures import complement, sample_size
 from episeries.functions.textnum import (
     after_last, at, bind, cover_date, locale_double, locale_long, normalise,
-    numeric_range, replace_literals, replace_patterns, replace_words, spaced, tokens,
+    numeric_range, replace_literals, replace_patterns, replace_words, spaced, whole_number,
 )
 from episeries.operators.recode import recoded
 
@@ -49,8 +49,10 @@ def named_tables(pages: DataFrame, titles: dict[str, str] = d.TABLE_TITLES) -> D
         F.array(*[
             F.struct(
                 F.lit(name).alias("table_name"),
-                F.regexp_extract(F.regexp_extract("text", title, 0), r"^Tabla ([0-9]+)", 1)
-                .try_cast("int").alias("table_no"),
+                whole_number(
+                    F.regexp_extract(F.regexp_extract("text", title, 0), r"^Tabla ([0-9]+)", 1),
+                    "int",
+                ).alias("table_no"),
             )
             for name, title in titles.items()
         ]),
@@ -191,16 +193,28 @@ def region_rows(table_pages: DataFrame) -> DataFrame:
     return table_pages.select(*kept, F.posexplode(cells).alias("row_no", "cells"))
 
 
+def with_numbers(rows: DataFrame) -> DataFrame:
+    """Parse every cell once, as a count and as a share.
+
+    Parsing inside an array function keeps the generated row code small enough
+    for the JVM to compile it; a parser inlined per column is not.
+    """
+    return rows.withColumns({
+        "_counts": F.transform("cells", lambda c: locale_long(c)),
+        "_shares": F.transform("cells", lambda c: locale_double(c)),
+    })
+
+
 def _region() -> Column:
     return recoded(at(F.col("cells"), 1), REGION_WORDS).alias("autonomous_region")
 
 
 def _count(place: int) -> Column:
-    return locale_long(at(F.col("cells"), place))
+    return at(F.col("_counts"), place)
 
 
 def _share(place: int) -> Column:
-    return locale_double(at(F.col("cells"), place))
+    return at(F.col("_shares"), place)
 
 
 def _day_before() -> Column:
@@ -215,7 +229,7 @@ def hospital_pressure(pages: DataFrame) -> DataFrame:
         "_ic": F.contains("text", F.lit(d.IC_BEDS_PHRASE)),
         "_rates": F.contains("text", F.lit(d.PER_INHABITANTS_PHRASE)),
     }).select(*TABLE_PAGE, "_ic", "_rates")
-    rows = alternate(region_rows(found))
+    rows = with_numbers(alternate(region_rows(found)))
     ic, both = F.col("_ic"), F.col("_ic") & F.col("_rates")
     return rows.select(
         "report_id", _day_before(), _region(),
@@ -239,6 +253,7 @@ def hospital_cases(pages: DataFrame) -> DataFrame:
     rows = alternate(region_rows(found)).withColumn(
         "_missing", F.max(F.size("cells")).over(whole) - F.size("cells")
     ).filter(F.col("_missing") != 2)
+    rows = with_numbers(rows)
     ia = F.col("_ia")
     return rows.select(
         "report_id", _day_before(), _region(),
@@ -322,14 +337,14 @@ def outbreaks(pages: DataFrame) -> DataFrame:
         F.max(F.when(F.col("part") == 0, F.col("text"))).alias("_first"),
         F.max(F.when(F.col("part") == 1, F.col("text"))).alias("_second"),
     ).filter(F.col("_second").isNotNull())
-    rows = both.select(
+    rows = with_numbers(both.select(
         "report_id", _day_before(),
-        F.explode(outbreak_rows(outbreak_words(F.col("_first"), F.col("_second")))).alias("_r"),
-    )
-    scope, cells = F.col("_r.scope"), F.col("_r.cells")
-    label = F.when(scope == F.col("_r.label"), F.lit("Total")).otherwise(F.col("_r.label"))
-    number = locale_long(at(cells, 1))
-    infected = locale_long(F.when(F.size(cells) == 6, at(cells, 2)).otherwise(at(cells, 3)))
+        F.inline(outbreak_rows(outbreak_words(F.col("_first"), F.col("_second")))),
+    ))
+    scope = F.col("scope")
+    label = F.when(scope == F.col("label"), F.lit("Total")).otherwise(F.col("label"))
+    number = _count(1)
+    infected = F.when(F.size("cells") == 6, _count(2)).otherwise(_count(3))
     return rows.select(
         "report_id", "date", spaced(scope).alias("scope"),
         F.concat(spaced(scope), F.lit(" - "), spaced(label)).alias("subscope"),
@@ -376,17 +391,12 @@ def symptom_rows(words: DataFrame) -> DataFrame:
     listed = F.when(both, F.array_intersect(codes, F.col("_t")))
     rows = rows.withColumn("symptom", F.explode(listed))
     start = (F.array_position("_t", F.col("symptom")) + F.col("_samples")).cast("int")
-    six = rows.withColumn("_s", start).select(
+    rows = rows.withColumn("_s", start).select(
         "report_id", F.col("report_date").alias("date"), "symptom",
         (F.col("_women") < F.col("_men")).alias("_women_first"),
-        F.slice("_t", F.col("_s") + 1, F.lit(6)).alias("_c"),
+        F.slice("_t", F.col("_s") + 1, F.lit(6)).alias("cells"),
     )
-
-    def patients(place: int) -> tuple[Column, Column]:
-        return locale_long(at(F.col("_c"), place)), locale_double(at(F.col("_c"), place + 1))
-
-    def chosen(yes: tuple[Column, Column], no: tuple[Column, Column]) -> tuple[Column, Column]:
-        return tuple(F.when(F.col("_women_first"), a).otherwise(b) for a, b in zip(yes, no))
+    parsed = with_numbers(rows)
 
     def group(name: str, number: Column, percent: Column) -> Column:
         return F.struct(
@@ -394,12 +404,18 @@ def symptom_rows(words: DataFrame) -> DataFrame:
             number.alias("number"), percent.alias("percentage"),
         ).alias(name)
 
-    return six.select(
+    def either(first: int, second: int) -> tuple[Column, Column]:
+        return tuple(
+            F.when(F.col("_women_first"), cell(first)).otherwise(cell(second))
+            for cell in (_count, lambda place: _share(place + 1))
+        )
+
+    return parsed.select(
         "report_id", "date", "symptom",
         F.struct(
-            group("total", *patients(1)),
-            group("women", *chosen(patients(3), patients(5))),
-            group("men", *chosen(patients(5), patients(3))),
+            group("total", _count(1), _share(2)),
+            group("women", *either(3, 5)),
+            group("men", *either(5, 3)),
         ).alias("patients"),
     )
 
@@ -417,7 +433,7 @@ def transmission_indicators(
     found = pages_of_table(normalised(pages), 6).withColumn(
         "text", replace_literals(F.col("text"), TITLE_6)
     )
-    rows = region_rows(found)
+    rows = with_numbers(region_rows(found))
 
     def spread(median: int, quartiles: int) -> Column:
         return F.struct(

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episeries.functions.textnum import compact_date, locale_double, locale_long
+from episeries.functions.textnum import compact_date, locale_double, locale_long, whole_number
 from episeries.operators.recode import equal_to
 
 # One row of a workbook sheet. Header names travel with each row, so sheets
@@ -69,8 +69,8 @@ def read_report_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page texts from files named ``<report>-<page>.txt``."""
     name = F.col("_metadata.file_name")
     return spark.read.text(path, wholetext=True).select(
-        F.regexp_extract(name, r"^(\d+)-(\d+)\.", 1).try_cast("long").alias("report_id"),
-        F.regexp_extract(name, r"^(\d+)-(\d+)\.", 2).try_cast("int").alias("page_no"),
+        whole_number(F.regexp_extract(name, r"^(\d+)-(\d+)\.", 1)).alias("report_id"),
+        whole_number(F.regexp_extract(name, r"^(\d+)-(\d+)\.", 2), "int").alias("page_no"),
         F.col("value").alias("text"),
     )
 
@@ -82,7 +82,7 @@ def read_sheet_rows(spark: SparkSession, path: str) -> DataFrame:
 
 def number_in_name(file_name: Column) -> Column:
     """Report number of ``59.pdf``."""
-    return F.regexp_extract(file_name, r"^(\d+)\.[^.]+$", 1).try_cast("long")
+    return whole_number(F.regexp_extract(file_name, r"^(\d+)\.[^.]+$", 1))
 
 
 def date_in_name(file_name: Column) -> Column:

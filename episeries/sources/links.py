@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episeries.functions.domains import REPORT_HREF, REPORT_TITLE
-from episeries.functions.textnum import replace_literals
+from episeries.functions.textnum import replace_literals, whole_number
 
 ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 # Character references that matter in titles and addresses.
@@ -33,7 +33,7 @@ def anchors(pages: DataFrame, page: str, html: str = "html") -> DataFrame:
 def report_number(title: Column) -> Column:
     """59 out of ``Informe nº 59. Situación …``."""
     pattern = rf"{REPORT_TITLE}\s*([0-9]+)\s*\."
-    return F.regexp_extract(F.lower(title), pattern, 1).try_cast("long")
+    return whole_number(F.regexp_extract(F.lower(title), pattern, 1))
 
 
 def link_table(
