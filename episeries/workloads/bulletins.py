@@ -207,12 +207,12 @@ def outbreak_pages(spark, sf) -> DataFrame:
         UNION ALL
         SELECT report_id, 'Laboral', 'Matadero/cárnica/similar', c, p FROM line WHERE slot = 5)
     SELECT report_id, {DAY_BEFORE} AS date, scope, CONCAT(scope, ' - ', label) AS subscope, number, cases,
-           ROUND(CAST(cases AS DOUBLE) / NULLIF(number, 0), 6) AS cases_per_outbreak
+           ROUND(CAST(cases AS DOUBLE) / NULLIF(number, 0), 9) AS cases_per_outbreak
     FROM r
 """)
 def report_outbreaks(spark, sf):
     rows = reports.outbreaks(outbreak_pages(spark, sf))
-    return rounded(rows.select("report_id", "date", "scope", "subscope", "outbreaks.*"))
+    return rounded(rows.select("report_id", "date", "scope", "subscope", "outbreaks.*"), 9)
 
 
 SYMPTOMS = [

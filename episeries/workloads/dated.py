@@ -80,12 +80,12 @@ def running_total(spark, sf):
 
 @workload("running_mean", f"""
     WITH {ORDERS} SELECT priority, status, date,
-      ROUND(AVG(n) OVER ({ORDER_SERIES} ROWS UNBOUNDED PRECEDING), 6) AS mean FROM daily
+      ROUND(AVG(n) OVER ({ORDER_SERIES} ROWS UNBOUNDED PRECEDING), 9) AS mean FROM daily
 """)
 def running_mean(spark, sf):
     return rounded(_orders(spark, sf).select(
         "priority", "status", "date", w.running_mean(F.col("n"), _order_window()).alias("mean")
-    ))
+    ), 9)
 
 
 def change_sql(first: str, last: str) -> str:

@@ -187,7 +187,7 @@ def vaccination_sheets(spark, sf) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("n", "urgent", "high", "low")],
     )
     new = F.year("date") >= 1999
-    share = F.format_string("%.4f", F.col("urgent") / F.col("n"))
+    share = F.floor(F.col("urgent") * 10000 / F.col("n")) / 10000
     cells = [F.col("autonomous_region"), F.col("urgent"), F.col("high"), F.col("n"), F.col("low"),
              share, F.col("n") - F.col("low")]
     text = [c.cast("string") for c in cells]
@@ -618,7 +618,7 @@ SHEETS = f"""
     general AS (SELECT date, autonomous_region, n AS total, urgent AS pfizer,
         CASE WHEN year(date) < 1999 THEN high END AS moderna,
         CASE WHEN year(date) >= 1999 THEN high END AS janssen, low AS applied_doses,
-        1e2 * CAST(printf('%.4f', urgent / n) AS DOUBLE) AS percentage_applied_doses,
+        1e2 * (FLOOR(urgent * 10000 / n) / 10000) AS percentage_applied_doses,
         CASE WHEN year(date) >= 1999 THEN n END AS number_at_least_single_dose_people,
         n - low AS number_fully_vaccinated_people FROM every)
 """

@@ -245,6 +245,12 @@ def test_pages_cover_all_rows_once(spark):
     assert serving.leading_integer("10 rows") == 10 and serving.leading_integer("x") == 0
 
 
+def test_tables_are_listed_with_their_filters(spark):
+    listed = {r["table_name"]: r["filters"] for r in serving.available_tables(spark).collect()}
+    assert len(listed) == 14
+    assert listed["hospitals_pressure"] == ["autonomous_region", "date"] and listed["symptoms"] == []
+
+
 def test_projection_ignores_unknown_fields(spark):
     df = spark.createDataFrame([((1, (2, 3)), "x")], "a struct<b:int,c:struct<d:int,e:int>>, z string")
     got = serving.projected(df, ["a.c.e", "nothing.here", "z"]).first()
