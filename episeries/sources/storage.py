@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +18,39 @@ ACCESS_ORDER = {
 }
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the checkpoint folder that all executors reach."""
+def shared_root(spark: SparkSession) -> str:
+    """The folder for intermediate data that the driver and all executors reach.
+
+    It is ``spark.checkpoint.dir``. Only a local master, where driver and executors are
+    one process, may leave it unset; the warehouse folder serves then.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and spark.sparkContext.master.startswith("local") and (
+            "cluster" not in spark.sparkContext.master):
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if not root:
-        root = tempfile.mkdtemp(prefix="episeries-")
-    return f"{root.rstrip('/')}/episeries-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return root.rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder of its own under the shared root."""
+    return f"{shared_root(spark)}/episeries-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch copy, wherever Spark can write."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise with ``checkpoint()``, so a lost executor costs no recomputation."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(df.sparkSession))
+    return df.checkpoint()
 
 
 def access_order(df: DataFrame, table: str) -> list[str]:
