@@ -13,7 +13,7 @@ SPACED = r"[^\x20\x09-\x0D]+"
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # And what lies between such words.
 SPACE_GAP = r"[\x20\x09-\x0D]+"
-ALNUM_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ALNUM_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: A side is broadcast only if it was counted and has at most so many rows.

@@ -31,6 +31,10 @@ def words(text: Column) -> Column:
     return words_of(lower_ascii(text), ALNUM_GAP)
 
 
+def hashes(array: Column) -> Column:
+    return F.transform(array, lambda w: F.xxhash64(w))
+
+
 def gram_words(length: int) -> int:
     """Words per k-gram for spans of ``length`` words."""
     return min(3, (length + 1) // 2)
@@ -42,15 +46,14 @@ def shifted(array: str, by: int, last: int) -> str:
 
 
 def with_least_hashes(df: DataFrame, length: int) -> DataFrame:
-    """Add ``least``: for each span of ``length`` words the least k-gram hash in it.
+    """Turn ``hashed`` words into ``least``: per span of ``length`` words the least k-gram hash.
 
     Both the k-grams and the minima over spans grow by zipping an array with itself, shifted,
     so an element costs a few cheap steps. Each step is a column of its own, so no array is
-    built twice.
+    built twice; the words themselves are not carried along.
     """
     k = gram_words(length)
-    df = df.withColumn("step", F.transform("words", lambda w: F.xxhash64(w)))
-    df = df.withColumn("hashed", F.col("step"))
+    df = df.withColumn("step", F.col("hashed"))
     for j in range(1, k):
         df = df.withColumn("step", F.expr(
             f"zip_with(slice(step, 1, greatest(size(step) - 1, 0)), {shifted('hashed', j, 0)}, "
@@ -87,8 +90,8 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def anchored(windows: DataFrame, length: int) -> DataFrame:
     """The anchors that windows of one length keep."""
     return with_least_hashes(
-        windows.filter(F.col("length") == length).select(F.split("span", " ").alias("words")),
-        length).select(F.col("least")[0].alias("anchor")).distinct()
+        windows.filter(F.col("length") == length).select(
+            hashes(F.split("span", " ")).alias("hashed")), length).select(F.col("least")[0].alias("anchor")).distinct()
 
 
 def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -99,7 +102,7 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     texts = docs.select("doc_id", "text")
     found = None
     for length in lengths:
-        tokens = texts.select("doc_id", words(F.col("text")).alias("words"))
+        tokens = texts.select("doc_id", hashes(words(F.col("text"))).alias("hashed"))
         seeds = runs(tokens, length, "doc_id").join(
             small(cut_lineage(anchored(windows, length))), "anchor"
         ).select("doc_id", F.lit(length).alias("length"), "first", "last")
