@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The word patterns of the result contracts.
@@ -55,3 +55,20 @@ def small(df: DataFrame) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """Rows that no classifier may learn from: crc32 of the id's text divides by 5."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def keep_rows(docs: DataFrame, winners: DataFrame, sha: Column) -> DataFrame:
+    """The rows of ``docs`` whose id and text digest are in ``winners`` (doc_id, sha), each once.
+
+    Only the digests meet the texts' own row; repeated rows lie side by side after the join.
+    """
+    def key(digest: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest)
+
+    won = winners.select(key(F.col("sha")).alias("__key")).distinct()
+    repeats = Window.partitionBy("__key").orderBy("__key")
+    return (
+        docs.withColumn("__key", key(sha)).join(won, "__key", "left_semi")
+        .withColumn("__repeat", F.row_number().over(repeats)).filter("__repeat = 1")
+        .drop("__key", "__repeat")
+    )

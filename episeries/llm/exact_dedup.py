@@ -16,10 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episeries.llm.common import lower_ascii
+from episeries.llm.common import keep_rows, lower_ascii
 from episeries.sources.storage import cut_lineage
 
 CUT = r"(?<=[.!?\n][ \n])(?=[a-h])"
@@ -78,9 +78,9 @@ def exact_groups(docs: DataFrame, identifiers: Sequence = IDENTIFIERS) -> DataFr
     adaptive execution splits where one group dominates.
     """
     rows = recipes(docs, identifiers)
-    groups = rows.groupBy("recipe").agg(
+    groups = cut_lineage(rows.groupBy("recipe").agg(
         F.max(F.struct("doc_id", "row_id")).alias("keep"), F.count("*").alias("group_size")
-    )
+    ))
     return rows.join(groups, "recipe").select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row_id") == F.col("keep.row_id")).alias("kept"), "text_sha256",
@@ -89,15 +89,5 @@ def exact_groups(docs: DataFrame, identifiers: Sequence = IDENTIFIERS) -> DataFr
 
 def keep(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    def key(sha: Column) -> Column:
-        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), sha)
-
-    winners = exact_groups(docs).filter("kept").select(
-        key(F.col("text_sha256")).alias("__key"))
-    keyed = docs.withColumn("__key", key(F.sha2(normalised(F.col("text")), 256)))
-    repeats = Window.partitionBy("__key").orderBy("__key")
-    return (
-        keyed.join(winners, "__key", "left_semi")
-        .withColumn("__repeat", F.row_number().over(repeats)).filter("__repeat = 1")
-        .drop("__key", "__repeat")
-    )
+    winners = exact_groups(docs).filter("kept").select("doc_id", F.col("text_sha256").alias("sha"))
+    return keep_rows(docs, winners, F.sha2(normalised(F.col("text")), 256))

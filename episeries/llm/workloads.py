@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from episeries.llm import decontamination, exact_dedup
-from episeries.llm.common import ALNUM, LOWER, UPPER, Workload, table
+from episeries.llm import decontamination, exact_dedup, mixing, simhash
+from episeries.llm.common import ALNUM, LOWER, SPACED, UPPER, Workload, table
 
 LLM_WORKLOADS: dict[str, Workload] = {}
 
@@ -60,3 +60,13 @@ DECONTAMINATION_SQL = f"""
 def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op8_simhash")
+def near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents")).drop("text_sha256")
+
+
+@register("op9_mixing", mixing.mixed_sql(mixing.Mix(), SPACED))
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
