@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from episeries.llm import decontamination, exact_dedup, mixing, simhash
+from episeries.llm import decontamination, exact_dedup, mixing, simhash, substring_dedup, toxicity
 from episeries.llm.common import ALNUM, LOWER, SPACED, UPPER, Workload, table
 
 LLM_WORKLOADS: dict[str, Workload] = {}
@@ -70,3 +70,27 @@ def near(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_mixing", mixing.mixed_sql(mixing.Mix(), SPACED))
 def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+@register("op2_substring_dedup", f"""
+    WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{SPACED}') AS w
+                 FROM documents),
+    win AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS span
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM doc)),
+    later AS (SELECT doc_id, s FROM win
+              QUALIFY row_number() OVER (PARTITION BY span ORDER BY doc_id, s) > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM later),
+    word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+             FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM doc LEFT JOIN kept USING (doc_id)
+""")
+def substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats_removed(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@register("op4_toxicity")
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
