@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from episeries.llm import decontamination, exact_dedup, mixing, simhash, substring_dedup, toxicity
+from episeries.llm import decontamination, exact_dedup, mixing, quality, simhash, substring_dedup, toxicity
 from episeries.llm.common import ALNUM, LOWER, SPACED, UPPER, Workload, table
 
 LLM_WORKLOADS: dict[str, Workload] = {}
@@ -94,3 +94,8 @@ def substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_toxicity")
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op3_quality")
+def good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
