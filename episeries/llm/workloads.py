@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from episeries.llm import decontamination, exact_dedup, mixing, quality, simhash, substring_dedup, toxicity
+from episeries.llm import (
+    decontamination,
+    exact_dedup,
+    html_extraction,
+    mixing,
+    quality,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from episeries.llm.common import ALNUM, LOWER, SPACED, UPPER, Workload, table
 
 LLM_WORKLOADS: dict[str, Workload] = {}
@@ -99,3 +108,8 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_quality")
 def good(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op6_html_extraction")
+def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(table(spark, sf_dir, "pages"))
