@@ -8,8 +8,10 @@ from episeries.llm import (
     decontamination,
     exact_dedup,
     html_extraction,
+    license_scan,
     mixing,
     quality,
+    secret_scan,
     simhash,
     substring_dedup,
     toxicity,
@@ -113,3 +115,13 @@ def good(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_html_extraction")
 def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extracted(table(spark, sf_dir, "pages"))
+
+
+@register("op5_license_scan", license_scan.licenses_sql())
+def licensed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
+@register("op1_secret_scan")
+def secret(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents")).drop("value")
