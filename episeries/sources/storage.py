@@ -53,6 +53,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """A written copy in the shared folder, far smaller than a checkpoint of many rows.
+
+    The copy goes when the driver's JVM ends.
+    """
+    path = f"{shared_folder(df.sparkSession)}/copy"
+    df.write.parquet(path)
+    context = df.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def access_order(df: DataFrame, table: str) -> list[str]:
     wanted = ACCESS_ORDER.get(table, DEFAULT_ORDER)
     return [c for c in wanted if c.lstrip("-") in df.columns]
