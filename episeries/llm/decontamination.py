@@ -152,5 +152,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def keep(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any hit, with all their columns."""
-    bad = document_hits(docs, benchmark).select(F.col("doc_id").alias("hit_doc")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("hit_doc")), "left_anti")
+    bad = document_hits(docs, benchmark).select(F.col("doc_id").alias("__hit_doc")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__hit_doc")), "left_anti")

@@ -180,7 +180,9 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:  # noqa: B008
 
 
 def select(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:  # noqa: B008
-    """The documents that the mix takes, with all their columns and ``copies``."""
+    """The documents that the mix takes, with all their columns and ``copies``, which takes the
+    place of a column of that name."""
+    docs = docs.drop("copies")
     found = with_copies(tree_place(docs), leaf_cutoffs(measured(docs), mix), mix)
     return found.filter("copies > 0").select(*[F.col(f"`{c}`") for c in docs.columns], "copies")
 
