@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from episeries.sources.storage import cut_lineage
+from episeries.sources.storage import stored
 
 LENGTH = 20
 GRAM = 5
@@ -132,17 +132,30 @@ def windows(length: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = Powers()
         for batch in batches:
-            for doc, copy, packed, open_seeds in zip(
-                    batch["doc"], batch["copy"], batch["packed"], batch["open"], strict=True):
+            rows, firsts, anchors, digests = [], [], [], []
+            for row, (packed, open_seeds) in enumerate(
+                    zip(batch["packed"], batch["open"], strict=True)):
                 _, sums = prefix_sums(zlib.decompress(packed).split(), powers)
-                spans = sorted({(s["first"], s["n"], s["anchor"]) for s in open_seeds})
-                first = np.concatenate([np.arange(a, a + n) for a, n, _ in spans])
-                out = pd.DataFrame({
-                    "doc": doc, "copy": copy, "first": first.astype(np.int32),
-                    "anchor": np.repeat([x[2] for x in spans], [x[1] for x in spans]),
-                    "digest": context(sums, powers, first, first + length).view(np.int64)})
-                out["again"] = out.duplicated(["anchor", "digest"])
-                yield out
+                starts, counts, anchor = np.array(
+                    [(s["first"], s["n"], s["anchor"]) for s in open_seeds], np.int64).T
+                # the windows of a seed are its first and those right behind it
+                first = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(
+                    counts.sum())
+                first, kept = np.unique(first, return_index=True)
+                rows.append(np.full(len(first), row))
+                firsts.append(first)
+                anchors.append(np.repeat(anchor, counts)[kept])
+                digests.append(context(sums, powers, first, first + length))
+            if not rows:
+                continue
+            row = np.concatenate(rows)
+            out = pd.DataFrame({
+                "doc": batch["doc"].to_numpy()[row], "copy": batch["copy"].to_numpy()[row],
+                "first": np.concatenate(firsts).astype(np.int32),
+                "anchor": np.concatenate(anchors),
+                "digest": np.concatenate(digests).view(np.int64), "row": row})
+            out["again"] = out.duplicated(["row", "anchor", "digest"])
+            yield out.drop(columns="row")
 
     return run
 
@@ -190,14 +203,14 @@ def repeats_removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     anchors = seed.groupBy("anchor").agg(
         F.min("doc").alias("first_doc"), F.count("*").alias("seen"),
         F.min("context").alias("low"), F.max("context").alias("high")).filter("seen > 1")
-    met = cut_lineage(seed.join(anchors, "anchor").filter(
+    met = stored(seed.join(anchors, "anchor").filter(
         "low <> high OR again OR doc <> first_doc").select(
         "doc", "copy", "first", "n", "anchor", (F.col("low") != F.col("high")).alias("open")))
     whole = met.filter("NOT open").select("doc", "copy", "first", "n")
     text = base.select("doc", "copy", packed("text").alias("packed"))
     open_seeds = met.filter("open").groupBy("doc", "copy").agg(
         F.collect_list(F.struct("first", "n", "anchor")).alias("open"))
-    window = cut_lineage(text.join(open_seeds, ["doc", "copy"]).mapInPandas(windows(length), WINDOW))
+    window = text.join(open_seeds, ["doc", "copy"]).mapInPandas(windows(length), WINDOW)
     earliest = window.groupBy("anchor", "digest").agg(F.min("doc").alias("first_doc"),
                                                       F.count("*").alias("seen"))
     extended = window.join(earliest.filter("seen > 1"), ["anchor", "digest"]).filter(
