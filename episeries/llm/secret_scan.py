@@ -1,8 +1,8 @@
 """Secret scan: candidates from the text, a random forest removes false positives.
 
-A candidate is a run of at least twelve letters, digits and ``+ / _ - . ~`` that holds a digit, at
-the end of a word. The forest reads its length, how often its characters change their
-kind, how much of it is made of dictionary words, the path it was found under and the words
+A candidate is a run of at least twelve letters, digits and ``+ / _ - . ~`` that holds a digit
+or begins like a known format, at the end of a word. The forest reads its length, how often
+its characters change their kind, how much of it is made of dictionary words, the path it was found under and the words
 beside it. It is trained from labelled findings: ``FINDINGS`` rows that Spark derives from row
 numbers, half of them secrets of common formats and half look-alikes (commit and file digests,
 numbers, identifiers, placeholders).
@@ -45,12 +45,12 @@ def candidates(docs: DataFrame) -> DataFrame:
     words = docs.select("doc_id", F.col("source").alias("path"),
                         words_of(F.col("text"), SPACE_GAP).alias("words"))
     at = words.withColumn("at", F.expr(
-        "filter(transform(words, (w, i) -> IF(length(w) >= 12 AND w RLIKE '[0-9]', i, -1)), "
-        "i -> i >= 0)"))
+        "filter(transform(words, (w, i) -> IF(length(w) >= 12 AND "
+        f"w RLIKE '[0-9]|{FORMATS[1:]}', i, -1)), i -> i >= 0)"))
     found = at.select("doc_id", "path", F.expr("""inline(transform(at, i -> struct(
         i AS pos, get(words, i) AS raw, get(words, i + 1) AS after, array_join(
             array(get(words, i - 3), get(words, i - 2), get(words, i - 1)), ' ') AS before)))"""))
-    return with_value(found).filter("value <> '' AND value RLIKE '[0-9]'")
+    return with_value(found).filter(f"value <> '' AND value RLIKE '[0-9]|{FORMATS}'")
 
 
 def with_value(found: DataFrame) -> DataFrame:
