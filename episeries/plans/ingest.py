@@ -101,14 +101,23 @@ def death_causes(raw: DataFrame) -> DataFrame:
 
 
 def _cell_long(value: Column) -> Column:
-    return value.try_cast("double").cast("long")
+    return value.try_cast("double").try_cast("long")
+
+
+def _cell_percentage(value: Column) -> Column:
+    """A share as a percentage; NULL if it is no finite number."""
+    share = value.try_cast("double")
+    return F.when(F.abs(share) < float("inf"), F.lit(100.0) * share)
 
 
 def vaccination_general(sheets: DataFrame) -> DataFrame:
     """Doses and vaccinated people from the first sheet of every workbook."""
     prefix = "received_doses."
-    cells = F.map_from_arrays(
-        F.transform("header", lambda h: recoded(h, d.VACCINATION_COLUMNS)), F.col("cells")
+    # The first of repeated names counts, and missing cells are NULL: a bad sheet costs itself only.
+    cells = bind(
+        F.transform("header", lambda h: recoded(h, d.VACCINATION_COLUMNS)),
+        lambda names: F.map_from_entries(F.array_compact(F.transform(names, lambda n, i: F.when(
+            F.array_position(names, n) == i + 1, F.struct(n, F.get("cells", i)))))),
     )
     rows = sheets.filter(F.col("sheet_no") == 0).select("file_name", cells.alias("row"))
 
@@ -118,7 +127,7 @@ def vaccination_general(sheets: DataFrame) -> DataFrame:
     received = F.transform_values(
         F.transform_keys(
             F.map_filter("row", lambda k, _: F.startswith(k, F.lit(prefix))),
-            lambda k, _: F.substring(k, len(prefix) + 1, 100),
+            lambda k, _: F.regexp_replace(k, r"^received_doses\.", ""),
         ),
         lambda _, v: _cell_long(v),
     )
@@ -127,7 +136,7 @@ def vaccination_general(sheets: DataFrame) -> DataFrame:
         recoded(cell("autonomous_region"), d.SHEET_REGION_LABELS).alias("autonomous_region"),
         received.alias("received_doses"),
         _cell_long(cell("applied_doses")).alias("applied_doses"),
-        (F.lit(100.0) * cell("percentage_applied_doses").try_cast("double"))
+        _cell_percentage(cell("percentage_applied_doses"))
         .alias("percentage_applied_doses"),
         _cell_long(cell("number_at_least_single_dose_people"))
         .alias("number_at_least_single_dose_people"),
@@ -195,5 +204,5 @@ def vaccination_ages(sheets: DataFrame, doses: str) -> DataFrame:
         F.inline(bind(pairs, entries)),
     ).select(
         "date", "autonomous_region", "age_range",
-        (F.lit(100.0) * F.col("cell").try_cast("double")).alias("percentage"),
+        _cell_percentage(F.col("cell")).alias("percentage"),
     )

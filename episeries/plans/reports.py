@@ -38,8 +38,9 @@ def numbered_tables(pages: DataFrame, pattern: str = d.NUMBERED_TITLE) -> DataFr
     numbers = F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)))
     return (
         pages.select("report_id", "page_no", F.explode(numbers).alias("_n"))
-        .groupBy("report_id", F.col("_n").cast("int").alias("table_no"))
+        .groupBy("report_id", whole_number(F.col("_n"), "int").alias("table_no"))
         .agg(F.max("page_no").alias("page_no"))
+        .filter("table_no IS NOT NULL")  # no table has a number beyond int
     )
 
 
@@ -92,10 +93,10 @@ def located_table(pages: DataFrame, title: str) -> DataFrame:
     titles = pages.select(
         "report_id", "page_no", number.alias("_named"), F.explode(numbers).alias("_n")
     )
-    index = titles.groupBy("report_id", F.col("_n").cast("int").alias("table_no")).agg(
+    index = titles.groupBy("report_id", whole_number(F.col("_n"), "int").alias("table_no")).agg(
         F.max("page_no").alias("page_no"),
         F.min(F.when(F.col("_n") == F.col("_named"), F.col("page_no"))).alias("_first"),
-    )
+    ).filter("table_no IS NOT NULL")
     report = Window.partitionBy("report_id")
     return (
         with_position(index)

@@ -41,6 +41,12 @@ def available_tables(spark: SparkSession) -> DataFrame:
     )
 
 
+def _day(value: str) -> Column:
+    """An ISO date or timestamp as a date; NULL, which no row equals, for anything else."""
+    return F.coalesce(F.try_to_date(F.lit(value), "yyyy-MM-dd"),
+                      F.try_to_timestamp(F.lit(value)).cast("date"))
+
+
 def filtered(df: DataFrame, allowed: list[str], values: Mapping[str, str]) -> DataFrame:
     """Equality on the allowed columns that were given a non-empty value."""
     for name in allowed:
@@ -49,7 +55,7 @@ def filtered(df: DataFrame, allowed: list[str], values: Mapping[str, str]) -> Da
             continue
         is_date = isinstance(df.schema[name].dataType, DateType)
         df = df.filter(
-            F.col(name) == (F.try_to_date(F.lit(str(value)[:10]), "yyyy-MM-dd") if is_date
+            F.col(name) == (_day(str(value)) if is_date
                             else F.lit(value))
         )
     return df

@@ -31,7 +31,8 @@ def read_delimited(
 
     Values stay text (so the code ``NA`` is a code) except for ``numbers``,
     which maps columns to ``long`` or ``double`` and is parsed with the given
-    decimal and thousands marks. ``columns`` is a DDL schema for files whose
+    decimal and thousands marks; the thousands mark is by default a comma, or a dot where
+    the comma is the decimal mark. ``columns`` is a DDL schema for files whose
     header must not be sampled.
     """
     reader = spark.read.option("header", True).option("sep", separator)
@@ -39,11 +40,12 @@ def read_delimited(
     if columns:
         reader = reader.schema(columns)
     df = reader.csv(path)
+    thousands = thousands or ("." if decimal == "," else ",")
     parsed = {}
     for name, kind in (numbers or {}).items():
         text = F.trim(F.col(f"`{name}`"))
         parsed[name] = (
-            locale_long(text, thousands or ",") if kind == "long"
+            locale_long(text, thousands) if kind == "long"
             else locale_double(text, decimal, thousands)
         )
     return df.withColumns(parsed)

@@ -160,3 +160,10 @@ def test_report_dates(spark):
     assert [r["report_date"] for r in reports.report_dates(df).collect()] == [
         datetime.date(2021, 6, 3)
     ]
+
+
+def test_a_table_number_beyond_int_stops_nothing(spark):
+    pages = spark.createDataFrame(
+        [(1, 1, "Tabla 99999999999. Too large"), (1, 2, "Tabla 2. Fine")],
+        "report_id long, page_no int, text string")
+    assert [r.table_no for r in reports.numbered_tables(pages).collect()] == [2]

@@ -336,3 +336,37 @@ def test_overwrite_and_append(spark, folder):
     storage.write_table(spark.range(2), path, overwrite=False)
     assert files.read_table(spark, path).count() == 4
     assert files.read_table(spark, path, {"id": 1}, ["id"]).count() == 2
+
+
+@pytest.mark.parametrize("marks, texts, wanted", [
+    ({}, ("1,234", "1,234.5"), (1234, 1234.5)),
+    ({"decimal": ","}, ("12,5", "1.234,5"), (None, 1234.5)),
+    ({"thousands": "."}, ("1.234", "1.234"), (1234, 1234.0)),
+    ({"decimal": ",", "thousands": "."}, ("1.234", "12,5"), (1234, 12.5)),
+])
+def test_number_marks_of_delimited_files(spark, tmp_path, marks, texts, wanted):
+    (tmp_path / "a.csv").write_text("n;x\n" + ";".join(texts) + "\n")
+    df = files.read_delimited(spark, str(tmp_path), separator=";", numbers={"n": "long", "x": "double"},
+                              **marks)
+    assert tuple(df.first()) == wanted
+
+
+def test_a_bad_sheet_costs_itself_only(spark):
+    header = ["Unnamed: 0", "Dosis entregadas (1)", "Total Dosis entregadas (1)", None,
+              "Dosis entregadas Pfizer (1)", "% sobre entregadas"]
+    sheets = spark.createDataFrame([
+        ("Informe_Comunicacion_20210101.ods", 0, 1, header, ["Madrid", "10", "11", "x", "NaN", "NaN"]),
+        ("Informe_Comunicacion_20210101.ods", 0, 1, header, ["Galicia", "1e30"]),
+        ("Informe_Comunicacion_20210101.ods", 0, 1, [], []),
+    ], files.SHEET_ROWS)
+    rows = {r.autonomous_region: r for r in ingest.vaccination_general(sheets).collect()}
+    assert len(rows) == 3
+    assert rows["Madrid"].received_doses == {"total": 10, "Pfizer": None}
+    assert rows["Madrid"].percentage_applied_doses is None
+    assert rows["Galicia"].received_doses == {"total": None, "Pfizer": None}
+
+
+def test_a_date_filter_takes_the_whole_value(spark):
+    df = spark.sql("SELECT DATE'2021-07-14' AS date, 1 AS n")
+    for value, n in (("2021-07-14", 1), ("2021-07-14T00:00:00", 1), ("2021-07-14garbage", 0)):
+        assert serving.filtered(df, ["date"], {"date": value}).count() == n
