@@ -96,6 +96,37 @@ def seeds_of(words: list[bytes], powers: Powers, length: int, gram: int) -> tupl
             context(sums, powers, start, stop + length - 1))
 
 
+#: Rows that a task hands over at a time, unless one document has more.
+ROWS = 1 << 16
+
+
+def narrow_rows(batch: pd.DataFrame, found: Iterator[tuple | None],
+                names: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames of the columns found for each document, with its keys; ``again`` marks rows that
+    repeat the last two of them within their document."""
+    def frame() -> pd.DataFrame:
+        row = np.repeat(owners, [len(p[0]) for p in parts])
+        columns = (np.concatenate(c) for c in zip(*parts, strict=True))
+        out = pd.DataFrame(
+            {"doc": batch["doc"].to_numpy()[row], "copy": batch["copy"].to_numpy()[row]}
+            | {n: c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int32)
+               for n, c in zip(names, columns, strict=True)} | {"row": row})
+        out["again"] = out.duplicated(["row", *names[-2:]])
+        return out.drop(columns="row")
+
+    parts, owners, size = [], [], 0
+    for row, columns in enumerate(found):
+        if columns:
+            parts.append(columns)
+            owners.append(row)
+            size += len(columns[0])
+        if size >= ROWS:
+            yield frame()
+            parts, owners, size = [], [], 0
+    if parts:
+        yield frame()
+
+
 SEED = "doc long, copy int, first int, n int, anchor long, context long, again boolean"
 
 
@@ -104,22 +135,9 @@ def seeds(length: int, gram: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = Powers()
         for batch in batches:
-            parts, owner = [], []
-            for row, text in enumerate(batch["text"]):
-                found = seeds_of((text or "").encode().split(), powers, length, gram)
-                if found:
-                    parts.append(found)
-                    owner.append(np.full(len(found[0]), row))
-            if not parts:
-                continue
-            first, n, anchor, digest = (np.concatenate(c) for c in zip(*parts, strict=True))
-            row = np.concatenate(owner)
-            out = pd.DataFrame({
-                "doc": batch["doc"].to_numpy()[row], "copy": batch["copy"].to_numpy()[row],
-                "first": first.astype(np.int32), "n": n.astype(np.int32), "anchor": anchor.view(np.int64),
-                "context": digest.view(np.int64), "row": row})
-            out["again"] = out.duplicated(["row", "anchor", "context"])
-            yield out.drop(columns="row")
+            yield from narrow_rows(batch, (
+                seeds_of((t or "").encode().split(), powers, length, gram)
+                for t in batch["text"]), ["first", "n", "anchor", "context"])
 
     return run
 
@@ -129,33 +147,23 @@ WINDOW = "doc long, copy int, first int, anchor long, digest long, again boolean
 
 def windows(length: int):
     """A mapInPandas function: packed texts with seeds to extend, to windows one by one."""
+    def windows_of(packed: bytes, spans: np.ndarray, anchor: np.ndarray,
+                   powers: Powers) -> tuple:
+        _, sums = prefix_sums(zlib.decompress(packed).split(), powers)
+        starts, counts = spans >> 32, spans & 0xFFFFFFFF
+        # the windows of a seed are its first and those right behind it
+        first = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        first, kept = np.unique(first, return_index=True)
+        return (first, np.repeat(anchor, counts)[kept].view(np.uint64),
+                context(sums, powers, first, first + length))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = Powers()
         for batch in batches:
-            rows, firsts, anchors, digests = [], [], [], []
-            for row, (packed, open_seeds) in enumerate(
-                    zip(batch["packed"], batch["open"], strict=True)):
-                _, sums = prefix_sums(zlib.decompress(packed).split(), powers)
-                starts, counts, anchor = np.array(
-                    [(s["first"], s["n"], s["anchor"]) for s in open_seeds], np.int64).T
-                # the windows of a seed are its first and those right behind it
-                first = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(
-                    counts.sum())
-                first, kept = np.unique(first, return_index=True)
-                rows.append(np.full(len(first), row))
-                firsts.append(first)
-                anchors.append(np.repeat(anchor, counts)[kept])
-                digests.append(context(sums, powers, first, first + length))
-            if not rows:
-                continue
-            row = np.concatenate(rows)
-            out = pd.DataFrame({
-                "doc": batch["doc"].to_numpy()[row], "copy": batch["copy"].to_numpy()[row],
-                "first": np.concatenate(firsts).astype(np.int32),
-                "anchor": np.concatenate(anchors),
-                "digest": np.concatenate(digests).view(np.int64), "row": row})
-            out["again"] = out.duplicated(["row", "anchor", "digest"])
-            yield out.drop(columns="row")
+            yield from narrow_rows(batch, (
+                windows_of(*row, powers)
+                for row in zip(batch["packed"], batch["spans"], batch["anchors"], strict=True)),
+                ["first", "anchor", "digest"])
 
     return run
 
@@ -172,9 +180,9 @@ def without(length: int, with_text: bool):
                     batch["doc"], batch["packed"], batch["gone"], strict=True):
                 words = zlib.decompress(packed).split()
                 edge = np.zeros(len(words) + 1, np.int64)
-                for span in gone if gone is not None else ():
-                    edge[span["first"]] += 1
-                    edge[span["first"] + span["n"] + length - 1] -= 1
+                if gone is not None:
+                    np.add.at(edge, gone >> 32, 1)
+                    np.add.at(edge, (gone >> 32) + (gone & 0xFFFFFFFF) + length - 1, -1)
                 stay = np.cumsum(edge[:-1]) == 0
                 kept = b" ".join([w for w, s in zip(words, stay.tolist(), strict=True) if s])
                 rows.append((None if doc == LAST_ID else doc, len(words),
@@ -206,16 +214,18 @@ def repeats_removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     met = stored(seed.join(anchors, "anchor").filter(
         "low <> high OR again OR doc <> first_doc").select(
         "doc", "copy", "first", "n", "anchor", (F.col("low") != F.col("high")).alias("open")))
-    whole = met.filter("NOT open").select("doc", "copy", "first", "n")
+    # a span of windows is one number, its first one and how many follow
+    span = "(CAST(first AS bigint) << 32) + n AS span"
+    whole = met.filter("NOT open").selectExpr("doc", "copy", span)
     text = base.select("doc", "copy", packed("text").alias("packed"))
     open_seeds = met.filter("open").groupBy("doc", "copy").agg(
-        F.collect_list(F.struct("first", "n", "anchor")).alias("open"))
+        F.collect_list(F.struct(F.expr(span), "anchor")).alias("open")).select(
+        "doc", "copy", F.col("open.span").alias("spans"), F.col("open.anchor").alias("anchors"))
     window = text.join(open_seeds, ["doc", "copy"]).mapInPandas(windows(length), WINDOW)
     earliest = window.groupBy("anchor", "digest").agg(F.min("doc").alias("first_doc"),
                                                       F.count("*").alias("seen"))
     extended = window.join(earliest.filter("seen > 1"), ["anchor", "digest"]).filter(
-        "again OR doc <> first_doc").select("doc", "copy", "first", F.lit(1).alias("n"))
-    gone = whole.unionAll(extended).groupBy("doc", "copy").agg(
-        F.collect_list(F.struct("first", "n")).alias("gone"))
+        "again OR doc <> first_doc").withColumn("n", F.lit(1)).selectExpr("doc", "copy", span)
+    gone = whole.unionAll(extended).groupBy("doc", "copy").agg(F.collect_list("span").alias("gone"))
     out = text.join(gone, ["doc", "copy"], "left").mapInPandas(without(length, with_text), RESULT)
     return out if with_text else out.drop("kept")
