@@ -15,10 +15,14 @@ from episeries.llm import (
     simhash,
     spelling_variants,
     substring_dedup,
+    token_alignment,
     toxicity,
 )
 from episeries.llm.common import ALNUM, LOWER, SPACED, UPPER, Workload, table
 
+#: Where the public tokenizers' files lie on the driver.
+TOKENIZERS = "/opt/tokenizers"
+
 LLM_WORKLOADS: dict[str, Workload] = {}
 
 
@@ -184,3 +188,10 @@ CRC_SQL = """
 """)
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
+@register("op11_token_alignment")
+def token_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(
+        table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json",
+        f"{TOKENIZERS}/piece_bpe_32k.model")
