@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from episeries.llm import (
+    chosen_path,
     decontamination,
     exact_dedup,
     html_extraction,
@@ -195,3 +196,29 @@ def token_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment(
         table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json",
         f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@register("op12_chosen_path", f"""
+    WITH RECURSIVE doc AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SPACED}') AS w FROM documents),
+    shingle AS (
+        SELECT DISTINCT doc_id, array_to_string(w[s:s + 2], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS s
+              FROM doc WHERE len(w) > 0)),
+    size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+    same AS (
+        SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i
+        FROM shingle AS a JOIN shingle AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    link AS (
+        SELECT u, v FROM same JOIN size AS a ON a.doc_id = u JOIN size AS b ON b.doc_id = v
+        WHERE 100 * i >= 85 * (a.n + b.n - i)),
+    reach AS (
+        SELECT doc_id AS u, doc_id AS v FROM doc
+        UNION SELECT reach.u, link.v FROM reach JOIN link ON reach.v = link.u),
+    least AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM least LEFT JOIN size USING (doc_id)
+""")
+def near_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_groups(table(spark, sf_dir, "documents"))
