@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +43,12 @@ PIECE_SPACE = "▁"
 
 #: Records a task holds before it spills, text bytes per bucket, second-id radix.
 SPILL_RECORDS, BUCKET_BYTES, RADIX = 2_000_000, 16 << 20, 4
-#: Bytes of text encoded at a time.
-SLICE_BYTES = 1 << 20
+#: Bytes of text encoded at a time, and words whose tokens a task remembers.
+SLICE_BYTES, KNOWN_WORDS = 1 << 20, 300_000
 
 Encode = Callable[[list[str]], list[list[int]]]
+#: No token of either side reaches over such a place.
+WORD_START, SPACES = re.compile(r"(?<=\S)(?= )"), re.compile(r"\s ")
 
 
 def byte_signs() -> dict[str, int]:
@@ -55,8 +59,9 @@ def byte_signs() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def byte_level(model: str) -> tuple[Encode, list[bytes]]:
-    """Encoder and token bytes of a byte-level BPE in the JSON form.
+def byte_level(model: str) -> tuple[Encode, list[bytes], bool]:
+    """Encoder and token bytes of a byte-level BPE in the JSON form, and whether no token goes
+    on over a word's start.
 
     Where merges are in the order of ids and texts are cut as usual, the same ids come from
     the faster of two libraries; else, and for a text it fails on, from the form's own.
@@ -88,7 +93,7 @@ def byte_level(model: str) -> tuple[Encode, list[bytes]]:
         and not form["model"].get("ignore_merges", False)
     )
     if not usual:
-        return slow, tokens
+        return slow, tokens, False
     import tiktoken
 
     fast = tiktoken.Encoding("byte_level", pat_str=BYTE_LEVEL_SPLIT, special_tokens={},
@@ -103,11 +108,12 @@ def byte_level(model: str) -> tuple[Encode, list[bytes]]:
                 raise
             return slow(texts)
 
-    return encode, tokens
+    return encode, tokens, True
 
 
-def pieces(model: bytes) -> tuple[Encode, list[bytes]]:
-    """Encoder and token bytes of a piece model with byte fallback."""
+def pieces(model: bytes) -> tuple[Encode, list[bytes], bool]:
+    """Encoder and token bytes of a piece model with byte fallback, and whether no piece has a
+    space behind another sign."""
     from sentencepiece import SentencePieceProcessor
 
     own = SentencePieceProcessor(model_proto=model)
@@ -116,7 +122,81 @@ def pieces(model: bytes) -> tuple[Encode, list[bytes]]:
         else own.id_to_piece(i).replace(PIECE_SPACE, " ").encode()
         for i in range(own.get_piece_size())
     ]
-    return lambda texts: own.encode(texts, num_threads=1), tokens
+    return (lambda texts: own.encode(texts, num_threads=1), tokens,
+            not any(b" " in t.lstrip(b" ") for t in tokens))
+
+
+Streams = tuple[np.ndarray, np.ndarray]
+
+
+class Encoders:
+    """Token streams of both sides; None for a text that one of them does not give back."""
+
+    def __init__(self, a_model: str, b_model: bytes) -> None:
+        encode_a, tokens_a, cut_a = byte_level(a_model)
+        encode_b, tokens_b, cut_b = pieces(b_model)
+        self.encode, self.tokens = (encode_a, encode_b), (tokens_a, tokens_b)
+        self.streams = self.word_wise if cut_a and cut_b else self.text_wise
+        self.known: tuple[dict[str, bytes], ...] = {}, {}
+
+    def packed(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """The ids of `` text`` as bytes, for each text."""
+        spaced = [f" {t}" for t in texts]
+        streams = self.encode[0](spaced), self.encode[1](texts)
+        whole = "".join(spaced).encode()
+        if any(b"".join(map(tokens.__getitem__, chain.from_iterable(stream))) != whole
+               for tokens, stream in zip(self.tokens, streams, strict=True)):
+            if len(texts) == 1:
+                return [None]
+            half = len(texts) // 2  # down to the texts that are not given back
+            return self.packed(texts[:half]) + self.packed(texts[half:])
+        return [*zip(*map(cut_up, streams), strict=True)]
+
+    def text_wise(self, texts: list[str]) -> Iterator[Streams | None]:
+        for both in self.packed(texts):
+            yield both and tuple(np.frombuffer(ids, "<i4") for ids in both)
+
+    def word_wise(self, texts: list[str]) -> Iterator[Streams | None]:
+        """Every word is encoded about once in a task.
+
+        Words begin at a space behind a sign that is no white space. Neither side's tokens
+        cross such a place, so the words' tokens in a row are the text's.
+        """
+        a, b = self.known
+        cut = [words(t) for t in texts]
+        wanted = set(chain.from_iterable(cut))
+        if len(a) + len(wanted) > KNOWN_WORDS:
+            a.clear()
+            b.clear()
+        new = [w for w in wanted if w not in a]
+        for word, both in zip(new, self.packed(new), strict=True):
+            a[word], b[word] = both or (None, None)
+        for parts in cut:
+            try:
+                yield tuple(np.frombuffer(b"".join(map(side.__getitem__, parts)), "<i4")
+                            for side in (a, b))
+            except TypeError:  # a word that is not given back
+                yield None
+
+
+def cut_up(stream: list[list[int]]) -> Iterator[bytes]:
+    """Each list of ids as bytes."""
+    ends = np.cumsum(np.fromiter(map(len, stream), np.int64, len(stream))) * 4
+    data = np.fromiter(chain.from_iterable(stream), "<i4").tobytes()
+    begin = 0
+    for end in ends.tolist():
+        yield data[begin:end]
+        begin = end
+
+
+def words(text: str) -> list[str]:
+    """What lies between the spaces that begin a word; no part is empty."""
+    if not text.startswith(" ") and not text.endswith(" ") and not SPACES.search(text):
+        return text.split(" ")
+    parts = [w[1:] for w in WORD_START.split(f" {text}")]
+    if not parts[-1] and len(parts) > 1:
+        parts[-2:] = [parts[-2] + " "]
+    return parts
 
 
 @dataclass(frozen=True)
@@ -134,26 +214,20 @@ class Aligner:
     """Cuts texts into groups by the bytes of both sides' tokens."""
 
     def __init__(self, a: list[bytes], b: list[bytes]) -> None:
-        self.tokens = a, b
         self.lengths = tuple(np.array([len(t) for t in side], np.int64) for side in (a, b))
         # each id as text with what follows it inside a group and at the group's end
         signs = [f"{i}{s}" for i in range(len(a)) for s in ",|"]
         signs += [f"{i}{s}" for i in range(len(b)) for s in ",;"]
         self.signs = np.array(signs, object)
 
-    def aligned(self, text: bytes, a: list[int], b: list[int]) -> Aligned | None:
-        """None if one side does not give the text back."""
-        if any(b"".join(map(tokens.__getitem__, ids)) != text
-               for tokens, ids in zip(self.tokens, (a, b), strict=True)):
-            return None
-        left, right = np.array(a, np.int64), np.array(b, np.int64)
+    def aligned(self, left: np.ndarray, right: np.ndarray) -> Aligned:
         end_a, end_b = np.cumsum(self.lengths[0][left]), np.cumsum(self.lengths[1][right])
         at = np.searchsorted(end_b, end_a)
         both = end_b[at] == end_a  # the last ends are equal, so no place is beyond
         last_a = np.flatnonzero(both)
         last_b = at[both]
-        return Aligned(len(a), len(b), self._groups(left, right, last_a, last_b),
-                       left[last_a], right[last_b])
+        return Aligned(len(left), len(right), self._groups(left, right, last_a, last_b),
+                       left[last_a].astype(np.int64), right[last_b].astype(np.int64))
 
     def _groups(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray,
                 last_b: np.ndarray) -> str:
@@ -174,9 +248,8 @@ class Aligner:
 def encoded(batches: Iterator[pa.RecordBatch], schema: pa.Schema, a_model: str, b_model: bytes,
             salts: int) -> Iterator[pa.RecordBatch]:
     """A row per document, and between them rows that hold a bucket's spilled run."""
-    encode_a, tokens_a = byte_level(a_model)
-    encode_b, tokens_b = pieces(b_model)
-    aligner = Aligner(tokens_a, tokens_b)
+    encoders = Encoders(a_model, b_model)
+    aligner = Aligner(*encoders.tokens)
     number = TaskContext.get().partitionId() << 40
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     records = 0
@@ -198,14 +271,14 @@ def encoded(batches: Iterator[pa.RecordBatch], schema: pa.Schema, a_model: str,
     for batch in batches:
         for ids, texts in slices(batch):
             known = [_decoded(t) for t in texts]
-            whole = [t for t in known if t]
-            streams = iter(zip(encode_a([f" {t}" for t in whole]), encode_b(whole), strict=True))
+            streams = iter(encoders.streams([t for t in known if t]))
             rows = []
-            for text, raw in zip(known, texts, strict=True):
-                found = aligner.aligned(b" " + raw, *next(streams)) if text else None
-                if found is None:
+            for text in known:
+                both = next(streams) if text else None
+                if both is None:
                     rows.append((number, 0, 0, 0, ""))
                 else:
+                    found = aligner.aligned(*both)
                     pair, times = np.unique(found.b << 32 | found.a, return_counts=True)
                     held.append((pair, np.full(len(pair), number, np.int64), times))
                     records += len(pair)
