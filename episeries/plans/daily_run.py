@@ -10,7 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from episeries.plans import analyses, ingest, reports
+from episeries.plans import analyses, ingest, reports, serving
 from episeries.sources.storage import copy_table, write_table
 
 EXTRACTED = "extracted"
@@ -81,3 +81,6 @@ def refresh(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], as_of:
     store(ANALYSED, "covid_vs_all_deaths", analyses.covid_vs_all_deaths(causes, covid))
     store(ANALYSED, "population_pyramid_variation",
           analyses.population_pyramid(population, analysed("covid_vs_all_deaths")))
+
+    for table in serving.TABLES:
+        serving.store_counts(spark, f"{root}/{ANALYSED}", table)

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, MapType, StructType
 
-from episeries.sources.storage import shared_folder
+from episeries.plans import paging
+from episeries.sources.storage import folder_exists
 
 # The queryable tables and the filters each one allows.
 TABLES: dict[str, list[str]] = {
@@ -29,9 +30,8 @@ TABLES: dict[str, list[str]] = {
     "symptoms": [],
 }
 
-# Up to here a page is the tail of a bounded top-n; beyond, rows are sorted by
-# range and only the partitions that hold the page are read.
-DEEP_PAGE_ROWS = 100_000
+#: Beside the tables: how many rows of each have the same values to filter by.
+PAGE_COUNTS = "page_counts"
 
 
 def available_tables(spark: SparkSession) -> DataFrame:
@@ -104,60 +104,19 @@ def leading_integer(value: object) -> int:
     return int(found.group(1)) if found else 0
 
 
-def _total_order(df: DataFrame, order: list[str]) -> list[Column]:
-    keys = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order]
-    named = {c.lstrip("-") for c in order}
-    rest = [f.name for f in df.schema.fields
-            if f.name not in named and not isinstance(f.dataType, MapType)]
-    return keys + [F.col(f"`{c}`").asc() for c in rest]
-
-
 def paged(
     df: DataFrame,
     order: list[str],
     limit: object = 0,
     page: object = 0,
-    deep_page_rows: int = DEEP_PAGE_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Page ``page`` of ``limit`` rows in a total order; limit 0 returns all rows."""
-    limit, page = leading_integer(limit), leading_integer(page)
-    if limit == 0:
-        return df
-    keys = _total_order(df, order)
-    if page * limit + limit <= deep_page_rows:
-        return df.orderBy(*keys).offset(page * limit).limit(limit)
-    return _deep_page(df, keys, page * limit, limit)
-
-
-def _deep_page(df: DataFrame, keys: list[Column], offset: int, limit: int) -> DataFrame:
-    """Rows offset … offset+limit of a range-sorted copy.
+    """Page ``page`` of ``limit`` rows in a total order; limit 0 returns all rows.
 
-    The copy is written, so the row numbers counted in one job hold in the
-    next; the driver sees one count per partition, never rows.
+    ``counts`` are stored counts of the same rows, which spare counting them.
     """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    path = shared_folder(spark)
-    (
-        df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .write.parquet(path)
-    )
-    rows = spark.read.parquet(path)
-    part = F.shiftright("_row", 33)
-    counts = {r["part"]: r["n"] for r in
-              rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
-    spans, before = [], 0
-    for number in sorted(counts):
-        first = max(offset - before, 0)
-        last = min(offset + limit - before, counts[number]) - 1
-        if first <= last:
-            spans.append(((number << 33) + first, (number << 33) + last))
-        before += counts[number]
-    wanted = F.lit(False)
-    for low, high in spans:
-        wanted = wanted | F.col("_row").between(low, high)
-    return rows.filter(wanted).orderBy("_row").drop("_row")
+    limit, page = leading_integer(limit), leading_integer(page)
+    return paging.page(df, order, limit, page * limit, counts) if limit else df
 
 
 def answer(
@@ -167,6 +126,7 @@ def answer(
     fields: str | list[str] | None = None,
     limit: object = 0,
     page: object = 0,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Answer a request on an analysed table.
 
@@ -177,9 +137,14 @@ def answer(
     found = filtered(df, TABLES[table], filters or {})
     if table in ("symptoms", "population_pyramid_variation"):
         return found
-    order = ["-date"] if "date" in df.columns else []
-    order += [c for c in TABLES[table] if c != "date"]
-    return projected(paged(found, order, limit, page), fields)
+    if counts is not None:
+        counts = filtered(counts, TABLES[table], filters or {})
+    return projected(paged(found, page_order(table), limit, page, counts), fields)
+
+
+def page_order(table: str) -> list[str]:
+    """The newest rows first, then by what the table can be filtered by."""
+    return sorted((f"-{c}" if c == "date" else c for c in TABLES[table]), key=lambda c: c != "-date")
 
 
 def query_table(
@@ -191,7 +156,17 @@ def query_table(
     limit: object = 0,
     page: object = 0,
 ) -> DataFrame:
-    """:func:`answer` on the table stored under ``root``."""
+    """:func:`answer` on the table stored under ``root``, with its stored counts if it has any."""
     if table not in TABLES:
         raise KeyError(f"no such table: {table}")
-    return answer(spark.read.parquet(f"{root}/{table}"), table, filters, fields, limit, page)
+    path = f"{root}/{PAGE_COUNTS}/{table}"
+    counts = spark.read.parquet(path) if folder_exists(spark, path) else None
+    return answer(spark.read.parquet(f"{root}/{table}"), table, filters, fields, limit, page,
+                  counts)
+
+
+def store_counts(spark: SparkSession, root: str, table: str) -> None:
+    """Count a stored table for its pages; a table that is not paged has no counts."""
+    if TABLES.get(table):
+        paging.page_counts(spark.read.parquet(f"{root}/{table}"), TABLES[table]).write.mode(
+            "overwrite").parquet(f"{root}/{PAGE_COUNTS}/{table}")

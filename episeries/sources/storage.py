@@ -45,6 +45,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something is stored there, wherever Spark can read."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise with ``checkpoint()``, so a lost executor costs no recomputation."""
     context = df.sparkSession.sparkContext

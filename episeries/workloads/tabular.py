@@ -9,7 +9,7 @@ from episeries.functions import domains as d
 from episeries.functions import measures as m
 from episeries.operators import combine, recode, reshape, totals
 from episeries.operators.windows import DAY, series, running_total, top_rows, with_day
-from episeries.plans import serving
+from episeries.plans import paging, serving
 from episeries.sources import files, storage
 from episeries.streaming.intake import process_new_files
 from episeries.workloads.registry import rounded, table, workload
@@ -479,10 +479,29 @@ def paged_query(spark, sf):
 def deep_page_query(spark, sf):
     return serving.paged(
         _as_cases(spark, sf), ["-date", "autonomous_region", "age_range", "gender"],
-        limit=500, page=2, deep_page_rows=1000,
+        limit=500, page=2,
     )
 
 
+@workload("counted_page_query", f"""
+    SELECT * FROM ({CASES_SQL}) WHERE gender = 'F' ORDER BY {PAGE_ORDER} LIMIT 70 OFFSET 350
+""")
+def counted_page_query(spark, sf):
+    cases = _as_cases(spark, sf)
+    counts = paging.page_counts(cases, serving.TABLES["cases"])
+    return serving.answer(cases, "cases", {"gender": "F"}, limit=70, page=5, counts=counts)
+
+
+@workload("value_page_query", """
+    SELECT * FROM (SELECT l_extendedprice, l_orderkey, l_linenumber FROM lineitem)
+    ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 40 OFFSET 2000
+""")
+def value_page_query(spark, sf):
+    # a leading column of nearly as many keys as rows
+    lines = table(spark, sf, "lineitem").select("l_extendedprice", "l_orderkey", "l_linenumber")
+    return serving.paged(lines, ["-l_extendedprice", "l_orderkey"], limit=40, page=50)
+
+
 @workload("dated_query", f"SELECT * FROM ({CASES_SQL}) WHERE date = DATE '1998-10-03'")
 def dated_query(spark, sf):
     return serving.answer(_as_cases(spark, sf), "cases", {"date": "1998-10-03"})

@@ -7,7 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from episeries.plans import analyses, daily_run, ingest, serving
+from episeries.plans import analyses, daily_run, ingest, paging, serving
 from episeries.sources import files, links, storage
 from episeries.streaming.intake import process_new_files
 
@@ -231,20 +231,39 @@ def test_refresh_and_queries(spark, raw, folder):
         serving.query_table(spark, root, "vaccination")
 
 
-def test_pages_cover_all_rows_once(spark):
-    df = spark.createDataFrame([(D(2021, 1, 1 + i % 3), f"r{i}", i) for i in range(23)],
-                               "date date, autonomous_region string, n long")
+@pytest.mark.parametrize("size", [1, 7, 10_000])
+def test_pages_cover_all_rows_once(spark, size):
+    rows = [(D(2021, 1, 1 + i % 3) if i % 5 else None, f"r{i % 4}" if i % 7 else None, i // 2)
+            for i in range(11)]
+    df = spark.createDataFrame(rows, "date date, autonomous_region string, n long")
     order = ["-date", "autonomous_region"]
-    whole = [tuple(r) for r in serving.paged(df, order, 100).collect()]
-    assert whole[0][0] == D(2021, 1, 3)
-    for deep in (0, 1000):
-        pages = [tuple(r) for p in range(6)
-                 for r in serving.paged(df, order, "5", str(p), deep_page_rows=deep).collect()]
+    whole = [tuple(r) for r in df.orderBy(F.desc("date"), "autonomous_region", "n").collect()]
+    for counts in (None, paging.page_counts(df, ["autonomous_region", "date"])):
+        pages = [tuple(r) for p in range(11 // size + 2)
+                 for r in serving.paged(df, order, str(size), str(p), counts).collect()]
         assert pages == whole
-    assert serving.paged(df, order, page=3).count() == 23  # a page without a limit is ignored
+    assert serving.paged(df, order, page=3).count() == 11  # a page without a limit is ignored
     assert serving.leading_integer("10 rows") == 10 and serving.leading_integer("x") == 0
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_pages_of_a_column_with_many_keys(spark, descending, monkeypatch):
+    monkeypatch.setattr(paging, "PIVOTS", 3)
+    df = spark.range(200).select((F.col("id") * 37 % 101).cast("double").alias("x"), "id")
+    found = [r["x"] for p in (0, 6, 28) for r in
+             serving.paged(df, ["-x" if descending else "x"], 7, p).collect()]
+    whole = sorted((float(i * 37 % 101) for i in range(200)), reverse=descending)
+    assert found == whole[:7] + whole[42:49] + whole[196:]
+
+
+def test_a_page_reads_its_range_and_writes_nothing(spark, folder):
+    spark.range(5000).select((F.col("id") % 50).alias("k"), "id").write.parquet(f"{folder}/t")
+    page = serving.paged(spark.read.parquet(f"{folder}/t"), ["k"], 10, 250)
+    plan = page._jdf.queryExecution().optimizedPlan().toString()
+    assert ">= 25" in plan and "<= 25" in plan and "Limit 10" in plan
+    assert [r["k"] for r in page.collect()] == [25] * 10
+
+
 def test_tables_are_listed_with_their_filters(spark):
     listed = {r["table_name"]: r["filters"] for r in serving.available_tables(spark).collect()}
     assert len(listed) == 14
