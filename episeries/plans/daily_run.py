@@ -6,23 +6,73 @@ lineage and the three analyses of the daily panel do not recompute it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from episeries.plans import analyses, ingest, reports, serving
-from episeries.sources.storage import copy_table, write_table
+from episeries.sources import files
+from episeries.sources.storage import copy_table, stored, write_table
+from episeries.streaming.intake import publish_batch, publish_new_files, published
 
 EXTRACTED = "extracted"
 ANALYSED = "analysed"
+REPORTS = "reports"
+REJECTS = "rejects"
+
+#: What each series of reports holds: the table and its reader.
+SERIES = {
+    "daily": {
+        "hospitals_pressure": reports.read_hospital_pressure,
+        "outbreaks_description": reports.read_outbreaks,
+    },
+    "weekly": {
+        "clinic_description": reports.read_clinic_description,
+        "transmission_indicators": reports.read_transmission_indicators,
+    },
+}
+
+
+def report_tables(series: str) -> Callable[[DataFrame], dict[str, DataFrame]]:
+    """The tables of some pages of a series, and what could not be read of them."""
+    def tables(pages: DataFrame) -> dict[str, DataFrame]:
+        # read once from where it was written; every table selects from this copy
+        pages = stored(reports.with_dates(pages))
+        known = pages.filter("report_date IS NOT NULL")
+        found, lost = {}, [reports.undated(pages)]
+        for table, reader in SERIES[series].items():
+            read = stored(reader(known))
+            found[table] = reports.good_rows(read)
+            lost.append(reports.rejects(read, table))
+        return found | {REJECTS: reduce(DataFrame.unionByName, lost)}
+
+    return tables
+
+
+def take_reports(spark: SparkSession, root: str, series: str, pages: DataFrame | str) -> None:
+    """Publish a series' tables and rejects under ``root``.
+
+    A folder of page files is taken in as a stream: each run reads only the files that no
+    earlier run has read. Pages of a report must come in one run. A DataFrame is all there is:
+    it replaces what was published before.
+    """
+    target = f"{root}/{REPORTS}/{series}"
+    if isinstance(pages, str):
+        publish_new_files(
+            spark, pages, report_tables(series), target, f"{target}/_intake", "text",
+            "value string", {"wholetext": "true"}, prepare=files.named_pages)
+    else:
+        publish_batch(pages, 0, report_tables(series), target)
 
 
-def refresh(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], as_of: str) -> None:
+def refresh(spark: SparkSession, root: str, raw: Mapping[str, DataFrame | str], as_of: str) -> None:
     """Rewrite all tables under ``root``.
 
     ``raw`` holds the inputs: daily_counts, provinces, tests, test_provinces,
     population, death_causes, vaccination_sheets, daily_report_pages and
-    weekly_report_pages.
+    weekly_report_pages; the two last may also be folders of page files, of which each run
+    reads the new ones only. What could not be read is in the table ``extracted/rejects``.
     """
     def path(layer: str, table: str) -> str:
         return f"{root}/{layer}/{table}"
@@ -36,9 +86,11 @@ def refresh(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], as_of:
     def store(layer: str, table: str, df: DataFrame) -> None:
         write_table(df, path(layer, table), table)
 
-    daily, weekly = raw["daily_report_pages"], raw["weekly_report_pages"]
-    if "report_date" not in weekly.columns:
-        weekly = weekly.join(reports.report_dates(weekly), "report_id")
+    def reported(series: str, table: str) -> DataFrame:
+        return published(spark, f"{root}/{REPORTS}/{series}", table)
+
+    for series in SERIES:
+        take_reports(spark, root, series, raw[f"{series}_report_pages"])
     sheets = raw["vaccination_sheets"]
     for table, df in {
         "daily_data": ingest.daily_panel(raw["daily_counts"], raw["provinces"]),
@@ -48,11 +100,10 @@ def refresh(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], as_of:
         "vaccination_general": ingest.vaccination_general(sheets),
         "vaccination_ages_single": ingest.vaccination_ages(sheets, "single"),
         "vaccination_ages_complete": ingest.vaccination_ages(sheets, "complete"),
-        "hospitals_pressure": reports.hospital_pressure(daily).drop("report_id"),
-        "outbreaks_description": reports.outbreaks(daily).drop("report_id"),
-        "clinic_description": reports.clinic_description(weekly).drop("report_id"),
-        "transmission_indicators":
-            reports.transmission_indicators(weekly).drop("report_id"),
+        **{table: reported(series, table).drop("report_id")
+           for series, tables in SERIES.items() for table in tables},
+        REJECTS: reduce(DataFrame.unionByName, [
+            *[reported(series, REJECTS) for series in SERIES], ingest.rejected_sheets(sheets)]),
     }.items():
         store(EXTRACTED, table, df)
 

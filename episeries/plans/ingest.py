@@ -101,7 +101,9 @@ def death_causes(raw: DataFrame) -> DataFrame:
 
 
 def _cell_long(value: Column) -> Column:
-    return value.try_cast("double").try_cast("long")
+    """A whole number, exactly; NULL for a fraction and for anything else."""
+    number = value.try_cast("decimal(38,9)")
+    return F.when(number == F.floor(number), number.try_cast("long"))
 
 
 def _cell_percentage(value: Column) -> Column:
@@ -206,3 +208,11 @@ def vaccination_ages(sheets: DataFrame, doses: str) -> DataFrame:
         "date", "autonomous_region", "age_range",
         _cell_percentage(F.col("cell")).alias("percentage"),
     )
+
+
+def rejected_sheets(sheets: DataFrame) -> DataFrame:
+    """Rejects, in the form of the report rejects, for workbooks whose name holds no date."""
+    return sheets.filter(date_in_name(F.col("file_name")).isNull()).select(
+        F.lit(None).cast("long").alias("report_id"), F.lit("vaccination").alias("table_name"),
+        F.col("file_name").alias("row"), F.lit(None).cast("string").alias("cell"),
+        F.lit("no date in the file name").alias("reason")).distinct()

@@ -4,8 +4,10 @@ Input: ``pages(report_id, report_date, page_no, text)``. A page is parsed where
 it lies, with array functions on its words; only the small index of table
 titles and the pages that hold a wanted table are ever exchanged.
 
-A report that does not parse yields no rows, wrong cells become NULL, and
-:func:`rejected_reports` lists what was lost; nothing stops the other reports.
+Each table has a reader (``read_…``) that gives a value or a reason: a row with its label and
+the cells it could not read, or, for a report of which no row could be read, one row that says
+why. :func:`good_rows` and :func:`rejects` are two selections of that one result, so nothing
+that is lost stops the other reports, and nothing is lost unseen.
 """
 
 from __future__ import annotations
@@ -26,6 +28,11 @@ from episeries.operators.recode import recoded
 REGION_WORDS = {d.joined(name): name for name in d.REGIONS}
 TABLE_PAGE = ["report_id", "report_date", "table_no", "position", "text"]
 
+# Why something was not read.
+NO_ROW, NO_NEXT_PAGE, NO_DATE, BAD_CELL = (
+    "no row read", "following page missing", "no report date", "unreadable cell")
+REJECT = "report_id long, table_name string, row string, cell string, reason string"
+
 
 def normalised(pages: DataFrame) -> DataFrame:
     return pages.withColumn("text", normalise(F.col("text")))
@@ -171,11 +178,15 @@ def segment(words: Column, is_head: Callable[[Column], Column],
 def alternate(df: DataFrame, row_no: str = "row_no", position: str = "position") -> DataFrame:
     """Of two interleaved tables, keep the rows of the wanted one."""
     side = F.when(F.col(position) == 1, 1).otherwise(0)
-    return df.filter((F.col(position) == 0) | (F.col(row_no) % 2 == side))
+    return df.filter((F.col(position) == 0) | F.col(row_no).isNull()
+                     | (F.col(row_no) % 2 == side))
 
 
 def region_rows(table_pages: DataFrame) -> DataFrame:
-    """Rows (cells array, region first) of a table that is keyed by region."""
+    """Rows (cells array, region first) of a table that is keyed by region.
+
+    A page without any gives one row whose cells are NULL.
+    """
     regions = F.array(*[F.lit(r) for r in REGION_WORDS])
     number = F.col("table_no").cast("string")
     words = from_word(
@@ -191,7 +202,7 @@ def region_rows(table_pages: DataFrame) -> DataFrame:
         lambda word: word.rlike(d.WORD_START) & ~F.array_contains(regions, word),
     )
     kept = [c for c in table_pages.columns if c != "text"]
-    return table_pages.select(*kept, F.posexplode(cells).alias("row_no", "cells"))
+    return table_pages.select(*kept, F.posexplode_outer(cells).alias("row_no", "cells"))
 
 
 def with_numbers(rows: DataFrame) -> DataFrame:
@@ -206,6 +217,36 @@ def with_numbers(rows: DataFrame) -> DataFrame:
     })
 
 
+def checked(rows: DataFrame, *columns: Column, label: Column, first: int = 2,
+            reason: Column | None = None) -> DataFrame:
+    """The columns with ``_row`` (what the row is about), ``_unread`` (cells from place
+    ``first`` on that are neither number, share nor range) and ``_reason`` (NULL for a row)."""
+    def unread(cell: Column, place: Column) -> Column:
+        known = F.coalesce(F.get("_counts", place), F.get("_shares", place)).isNotNull()
+        return (place >= first - 1) & ~known & (cell != "") & numeric_range(cell)["low"].isNull()
+
+    none = F.when(F.col("cells").isNull(), F.lit(NO_ROW))
+    return rows.select(
+        *columns, label.alias("_row"), F.filter("cells", unread).alias("_unread"),
+        (F.coalesce(reason, none) if reason is not None else none).alias("_reason"),
+    )
+
+
+def good_rows(read: DataFrame) -> DataFrame:
+    """The rows that could be read; a cell that could not is NULL."""
+    return read.filter("_reason IS NULL").drop("_row", "_unread", "_reason")
+
+
+def rejects(read: DataFrame, table: str) -> DataFrame:
+    """What could not be read: whole reports, and single cells of rows."""
+    whole = F.when(F.col("_reason").isNotNull(), F.array(F.struct(
+        F.lit(None).cast("string").alias("cell"), F.col("_reason").alias("reason"))))
+    cells = F.transform("_unread", lambda c: F.struct(
+        c.alias("cell"), F.lit(BAD_CELL).alias("reason")))
+    return read.select("report_id", F.lit(table).alias("table_name"), F.col("_row").alias("row"),
+                       F.inline(F.coalesce(whole, cells)))
+
+
 def _region() -> Column:
     return recoded(at(F.col("cells"), 1), REGION_WORDS).alias("autonomous_region")
 
@@ -225,6 +266,11 @@ def _day_before() -> Column:
 # --- the tables -------------------------------------------------------------
 
 def hospital_pressure(pages: DataFrame) -> DataFrame:
+    """Hospital occupation per region."""
+    return good_rows(read_hospital_pressure(pages))
+
+
+def read_hospital_pressure(pages: DataFrame) -> DataFrame:
     """Hospital occupation per region; three column layouts."""
     found = pages_of_named_table(normalised(pages), "hospital_pressure").withColumns({
         "_ic": F.contains("text", F.lit(d.IC_BEDS_PHRASE)),
@@ -232,8 +278,8 @@ def hospital_pressure(pages: DataFrame) -> DataFrame:
     }).select(*TABLE_PAGE, "_ic", "_rates")
     rows = with_numbers(alternate(region_rows(found)))
     ic, both = F.col("_ic"), F.col("_ic") & F.col("_rates")
-    return rows.select(
-        "report_id", _day_before(), _region(),
+    return checked(
+        rows, F.col("report_id"), _day_before(), _region(),
         _count(2).alias("hospitalized_patients"),
         F.when(both, _share(-6)).when(ic, _share(-5)).otherwise(_share(-3))
         .alias("beds_percentage"),
@@ -241,10 +287,16 @@ def hospital_pressure(pages: DataFrame) -> DataFrame:
         F.when(ic, _share(-3)).alias("ic_beds_percentage"),
         _count(-2).alias("admissions"),
         _count(-1).alias("discharges"),
+        label=_region(),
     )
 
 
 def hospital_cases(pages: DataFrame) -> DataFrame:
+    """Hospitalised cases per region."""
+    return good_rows(read_hospital_cases(pages))
+
+
+def read_hospital_cases(pages: DataFrame) -> DataFrame:
     """Hospitalised cases per region; short rows lack the newest columns."""
     found = pages_of_named_table(normalised(pages), "hospital_cases").select(
         *TABLE_PAGE,
@@ -253,16 +305,17 @@ def hospital_cases(pages: DataFrame) -> DataFrame:
     whole = Window.partitionBy("report_id")
     rows = alternate(region_rows(found)).withColumn(
         "_missing", F.max(F.size("cells")).over(whole) - F.size("cells")
-    ).filter(F.col("_missing") != 2)
+    ).filter(F.col("cells").isNull() | (F.col("_missing") != 2))
     rows = with_numbers(rows)
     ia = F.col("_ia")
-    return rows.select(
-        "report_id", _day_before(), _region(),
+    return checked(
+        rows, F.col("report_id"), _day_before(), _region(),
         F.struct(
             F.when(ia, _count(4)).otherwise(_count(2)).alias("total_hospitalized_cases"),
             F.when(F.col("_missing") != 1, F.when(ia, _count(5)).otherwise(_count(4)))
             .alias("total_ic_cases"),
         ).alias("hospitalizations"),
+        label=_region(),
     )
 
 
@@ -331,28 +384,35 @@ def outbreak_rows(words: Column) -> Column:
 
 def outbreaks(pages: DataFrame) -> DataFrame:
     """Outbreaks and their cases by scope and sub-scope."""
+    return good_rows(read_outbreaks(pages))
+
+
+def read_outbreaks(pages: DataFrame) -> DataFrame:
+    """Outbreaks and their cases; the table goes on on the following page."""
     found = pages_of_named_table(normalised(pages), "outbreaks_description", following=1)
     # Two pages per report at most: the group is bounded by construction.
     both = found.groupBy("report_id").agg(
         F.max(F.when(F.col("part") == 0, F.col("report_date"))).alias("report_date"),
         F.max(F.when(F.col("part") == 0, F.col("text"))).alias("_first"),
         F.max(F.when(F.col("part") == 1, F.col("text"))).alias("_second"),
-    ).filter(F.col("_second").isNotNull())
+    )
     rows = with_numbers(both.select(
-        "report_id", _day_before(),
-        F.inline(outbreak_rows(outbreak_words(F.col("_first"), F.col("_second")))),
+        "report_id", _day_before(), F.col("_second").isNull().alias("_alone"),
+        F.inline_outer(outbreak_rows(outbreak_words(F.col("_first"), F.col("_second")))),
     ))
     scope = F.col("scope")
     label = F.when(scope == F.col("label"), F.lit("Total")).otherwise(F.col("label"))
     number = _count(1)
     infected = F.when(F.size("cells") == 6, _count(2)).otherwise(_count(3))
-    return rows.select(
-        "report_id", "date", spaced(scope).alias("scope"),
+    return checked(
+        rows, F.col("report_id"), F.col("date"), spaced(scope).alias("scope"),
         F.concat(spaced(scope), F.lit(" - "), spaced(label)).alias("subscope"),
         F.struct(
             number.alias("number"), infected.alias("cases"),
             F.try_divide(infected.cast("double"), number).alias("cases_per_outbreak"),
         ).alias("outbreaks"),
+        label=spaced(F.col("label")), first=1,
+        reason=F.when(F.col("_alone"), F.lit(NO_NEXT_PAGE)),
     )
 
 
@@ -360,17 +420,29 @@ def clinic_description(
     pages: DataFrame, numbers: tuple[int, int] | None = d.SYMPTOM_REPORTS
 ) -> DataFrame:
     """Symptoms by gender, from the report numbers that print them legibly."""
+    return good_rows(read_clinic_description(pages, numbers))
+
+
+def read_clinic_description(
+    pages: DataFrame, numbers: tuple[int, int] | None = d.SYMPTOM_REPORTS
+) -> DataFrame:
+    """Symptoms by gender; NULL for ``numbers`` reads all reports."""
     if numbers:
         pages = pages.filter(F.col("report_id").between(*numbers))
     found = pages_of_table(normalised(pages), 2)
     text = F.lower(F.regexp_replace("text", d.SYMPTOM_NOISE, ""))
     text = replace_words(replace_literals(text, d.ILLNESS_PHRASES), d.SYMPTOM_PHRASES)
     pages_words = found.select("report_id", "report_date", F.split(text, " +").alias("_w"))
-    return symptom_rows(pages_words)
+    return read_symptoms(pages_words)
 
 
 def symptom_rows(words: DataFrame) -> DataFrame:
     """Symptom rows of tokenised pages ``(report_id, report_date, _w)``."""
+    return good_rows(read_symptoms(words))
+
+
+def read_symptoms(words: DataFrame) -> DataFrame:
+    """Symptom rows of tokenised pages, or why there are none."""
     codes = F.array(*[F.lit(c) for c in dict.fromkeys(c for _, c in d.SYMPTOM_PHRASES)])
     w = F.col("_w")
     table = bind(
@@ -390,7 +462,7 @@ def symptom_rows(words: DataFrame) -> DataFrame:
     )
     both = (F.col("_men") > 0) & (F.col("_women") > 0)
     listed = F.when(both, F.array_intersect(codes, F.col("_t")))
-    rows = rows.withColumn("symptom", F.explode(listed))
+    rows = rows.withColumn("symptom", F.explode_outer(listed))
     start = (F.array_position("_t", F.col("symptom")) + F.col("_samples")).cast("int")
     rows = rows.withColumn("_s", start).select(
         "report_id", F.col("report_date").alias("date"), "symptom",
@@ -411,13 +483,15 @@ def symptom_rows(words: DataFrame) -> DataFrame:
             for cell in (_count, lambda place: _share(place + 1))
         )
 
-    return parsed.select(
-        "report_id", "date", "symptom",
+    return checked(
+        parsed, F.col("report_id"), F.col("date"), F.col("symptom"),
         F.struct(
             group("total", _count(1), _share(2)),
             group("women", *either(3, 5)),
             group("men", *either(5, 3)),
         ).alias("patients"),
+        label=F.col("symptom"), first=1,
+        reason=F.when(F.col("symptom").isNull(), F.lit(NO_ROW)),
     )
 
 
@@ -429,6 +503,13 @@ def transmission_indicators(
     pages: DataFrame, first: int | None = d.TRANSMISSION_FIRST_REPORT
 ) -> DataFrame:
     """Contact tracing indicators per region, from report number ``first`` on."""
+    return good_rows(read_transmission_indicators(pages, first))
+
+
+def read_transmission_indicators(
+    pages: DataFrame, first: int | None = d.TRANSMISSION_FIRST_REPORT
+) -> DataFrame:
+    """Contact tracing indicators per region; NULL for ``first`` reads all reports."""
     if first is not None:
         pages = pages.filter(F.col("report_id") >= first)
     found = pages_of_table(normalised(pages), 6).withColumn(
@@ -442,8 +523,8 @@ def transmission_indicators(
             numeric_range(at(F.col("cells"), quartiles)).alias("iq"),
         )
 
-    return rows.select(
-        "report_id", F.col("report_date").alias("date"), _region(),
+    return checked(
+        rows, F.col("report_id"), F.col("report_date").alias("date"), _region(),
         F.struct(
             F.struct(_count(-4).alias("total"), _share(-3).alias("percentage"))
             .alias("cases_unknown_contact"),
@@ -451,6 +532,7 @@ def transmission_indicators(
             spread(6, 7).alias("days_until_diagnostic"),
             complement(_share(3)).alias("asymptomatic_percentage"),
         ).alias("transmission_indicators"),
+        label=_region(),
     )
 
 
@@ -460,6 +542,29 @@ def report_dates(pages: DataFrame) -> DataFrame:
     return cover.select("report_id", cover_date(F.col("text")).alias("report_date"))
 
 
+def with_dates(pages: DataFrame) -> DataFrame:
+    """Each report's date: the stamp its pages carry (``report_date``), else the cover page's,
+    else the one in its file names (``file_date``); NULL if there is none.
+
+    One small index per report is joined; page texts are not exchanged for it where it proves
+    small.
+    """
+    cover = F.when(F.col("page_no") == 0, cover_date(normalise(F.col("text"))))
+    found = {c: F.max(c) for c in ("report_date", "file_date") if c in pages.columns}
+    in_order = [found.get("report_date"), F.max(cover), found.get("file_date")]
+    index = pages.groupBy("report_id").agg(
+        F.coalesce(*[c for c in in_order if c is not None]).alias("report_date"))
+    return pages.drop("report_date", "file_date").join(index, "report_id", "left")
+
+
+def undated(pages: DataFrame) -> DataFrame:
+    """Rejects for the reports that :func:`with_dates` found no date for."""
+    return pages.filter("report_date IS NULL").select("report_id").distinct().select(
+        "report_id", F.lit(None).cast("string").alias("table_name"),
+        F.lit(None).cast("string").alias("row"), F.lit(None).cast("string").alias("cell"),
+        F.lit(NO_DATE).alias("reason"))
+
+
 def rejected_reports(pages: DataFrame, parsed: DataFrame, table: str, title: str) -> DataFrame:
     """Reports that title a table of which no row could be read."""
     titled = normalised(pages).filter(F.col("text").rlike(title)).select("report_id").distinct()

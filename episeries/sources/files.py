@@ -69,11 +69,22 @@ def read_table(
 
 def read_report_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page texts from files named ``<report>-<page>.txt``."""
+    return named_pages(spark.read.text(path, wholetext=True)).drop("file_date")
+
+
+def named_pages(texts: DataFrame) -> DataFrame:
+    """Pages from whole text files, read at once or as a stream.
+
+    Report, page and, where it is given, date are in the name: ``<report>-<page>.txt`` or
+    ``<report>-<page>_<yyyymmdd>.txt``.
+    """
     name = F.col("_metadata.file_name")
-    return spark.read.text(path, wholetext=True).select(
-        whole_number(F.regexp_extract(name, r"^(\d+)-(\d+)\.", 1)).alias("report_id"),
-        whole_number(F.regexp_extract(name, r"^(\d+)-(\d+)\.", 2), "int").alias("page_no"),
+    pattern = r"^(\d+)-(\d+)[._]"
+    return texts.select(
+        whole_number(F.regexp_extract(name, pattern, 1)).alias("report_id"),
+        whole_number(F.regexp_extract(name, pattern, 2), "int").alias("page_no"),
         F.col("value").alias("text"),
+        date_in_name(name).alias("file_date"),
     )
 
 

@@ -138,11 +138,9 @@ def report_hospital_pressure(spark, sf):
     FROM line WHERE report_id NOT IN (SELECT report_id FROM line WHERE slot = 1)
 """)
 def report_rejected(spark, sf):
-    pages = hospital_pages(spark, sf)
-    return reports.rejected_reports(
-        pages, reports.hospital_pressure(pages), "hospital_pressure",
-        d.TABLE_TITLES["hospital_pressure"],
-    )
+    read = reports.read_hospital_pressure(hospital_pages(spark, sf))
+    return reports.rejects(read, "hospital_pressure").filter("row IS NULL").select(
+        "report_id", "table_name", "reason")
 
 
 @workload("report_hospital_cases", f"""

@@ -2,14 +2,15 @@
 
 import datetime
 import json
+import os
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from episeries.plans import analyses, daily_run, ingest, paging, serving
+from episeries.plans import analyses, daily_run, ingest, paging, reports, serving
 from episeries.sources import files, links, storage
-from episeries.streaming.intake import process_new_files
+from episeries.streaming.intake import process_new_files, publish_batch, published
 
 D = datetime.date
 
@@ -319,6 +320,69 @@ def test_stream_sees_each_file_once(spark, folder):
     assert run() == [0, 1, 2, 3, 4]
 
 
+def _page_files(folder, pages):
+    os.makedirs(folder, exist_ok=True)
+    for name, text in pages.items():
+        with open(f"{folder}/{name}.txt", "w", encoding="utf-8") as file:
+            file.write(text)
+
+
+def test_reports_are_taken_in_once_with_rejects(spark, folder):
+    pressure = ("Tabla 3. Situación capacidad asistencial % Camas Ocupadas UCI COVID "
+                "Andalucía 1.234 5,5% 67 8,25% 9 1,2,3 Total 1")
+    source, root = f"{folder}/in", f"{folder}/out"
+    _page_files(source, {"60-0_20210714": pressure,
+                         "61-0_20210715": "Tabla 3. Situación capacidad asistencial sin filas",
+                         "62-0": pressure})
+
+    def run():
+        daily_run.take_reports(spark, root, "daily", source)
+        rows = published(spark, f"{root}/reports/daily", "hospitals_pressure").collect()
+        lost = published(spark, f"{root}/reports/daily", "rejects").collect()
+        return (sorted((r["report_id"], r["date"], r["hospitalized_patients"]) for r in rows),
+                sorted((r["report_id"], r["row"] or "", r["cell"] or "", r["reason"]) for r in lost))
+
+    first = [(60, D(2021, 7, 13), 1234)]
+    lost = [(60, "Andalucía", "1,2,3", "unreadable cell"), (61, "", "", "no row read"),
+            (62, "", "", "no report date")]
+    assert run() == (first, lost) and run() == (first, lost)
+    seen = set(os.listdir(f"{root}/reports/daily/rejects"))
+    # the next run reads the new file only: the old ones may be gone
+    for name in os.listdir(source):
+        os.remove(f"{source}/{name}")
+    _page_files(source, {"63-0_20210716": pressure.replace("1.234", "7").replace("1,2,3", "10")})
+    assert run() == ([*first, (63, D(2021, 7, 15), 7)], lost)
+    assert len(set(os.listdir(f"{root}/reports/daily/rejects")) - seen) == 1
+
+
+def test_a_batch_that_runs_twice_is_published_once(spark, folder):
+    def tables(df):
+        return {"even": df.filter("id % 2 = 0"), "odd": df.filter("id % 2 = 1")}
+
+    for _ in range(2):
+        publish_batch(spark.range(5), 7, tables, folder)
+    publish_batch(spark.range(5, 8), 8, tables, folder)
+    assert sorted(r["id"] for r in published(spark, folder, "even").collect()) == [0, 2, 4, 6]
+    assert sorted(r["id"] for r in published(spark, folder, "odd").collect()) == [1, 3, 5, 7]
+
+
+def test_dates_of_reports_in_order_of_their_sources(spark):
+    cover = "Fecha del informe: 29 de mayo de 2020."
+    rows = [(1, 0, cover, D(2020, 1, 1), D(2020, 1, 2)), (2, 0, cover, None, D(2020, 1, 2)),
+            (3, 0, "x", None, D(2020, 1, 2)), (4, 1, cover, None, None)]
+    df = spark.createDataFrame(rows, "report_id long, page_no int, text string, report_date date, "
+                                     "file_date date")
+    got = {r["report_id"]: r["report_date"] for r in reports.with_dates(df).collect()}
+    assert got == {1: D(2020, 1, 1), 2: D(2020, 5, 29), 3: D(2020, 1, 2), 4: None}
+    assert [r["report_id"] for r in reports.undated(reports.with_dates(df)).collect()] == [4]
+
+
+def test_sheet_cells_are_exact(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("12.9",), ("12.0",), ("x",), (None,)], "v string")
+    assert [r[0] for r in df.select(ingest._cell_long(F.col("v"))).collect()] == [
+        9007199254740993, None, 12, None, None]
+
+
 def test_report_pages_and_sheets_from_files(spark, folder):
     rows = [("Informe_20210715.ods", 0, 3, ["a"], ["1"])]
     spark.createDataFrame(rows, files.SHEET_ROWS).write.json(f"{folder}/sheets")
