@@ -4,8 +4,8 @@ A document is the set of its word shingles. Equal sets are one class. In each of
 independent trees a node chooses one or two of the minwise tokens (on average the inverse of the
 wanted similarity), and every member goes to the child of its token at that place; so members of
 one node agree on every token chosen on the way. Sets as similar as wanted stay together in a
-tree with a known probability, and as many trees grow as the recall asks for. Nodes of one
-member go at once, nodes of up to ``LEAF`` members are compared exhaustively, larger ones branch
+tree with a known probability, and as many trees grow as the recall asks for. All sets take the
+first two levels, on narrow rows; nodes of one member go then, nodes of up to ``LEAF`` members are compared exhaustively, larger ones branch
 on. Pairs whose tokens agree often enough are confirmed on the full sets.
 
 Groups of very many near copies would not shrink by branching. Their members are compared with a
@@ -13,7 +13,7 @@ few pivots first, and nodes whose members are all connected by confirmed links a
 further link inside says nothing new about components. What is still crowded at the last level
 is cut into blocks, and every pair of blocks is compared.
 
-A token comparison drops a pair of the wanted similarity only if the estimate is five
+A token comparison drops a pair of the wanted similarity only if the estimate is four
 deviations too low. ``components`` therefore joins exactly the documents that confirmed links
 connect, and a link is missed with a probability of at most ``1 - recall``.
 
@@ -25,7 +25,7 @@ component. An empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import ceil, log, sqrt
 
 import numpy as np
@@ -42,16 +42,16 @@ from episeries.sources.storage import cut_lineage, stored
 SHINGLE = 3
 #: Wanted similarity in hundredths, and the chance that a tree set finds a link that just has it.
 PERCENT, RECALL = 85, 0.999
-#: Minwise tokens of a set, and levels of branching below the first.
-TOKENS, LEVELS = 96, 5
+#: Minwise tokens of a set, levels that all sets take, and levels of crowded nodes below.
+TOKENS, FIRST_LEVELS, LEVELS = 128, 2, 4
 #: Members of a node that are compared exhaustively; pivots of a larger one; rows of a tile.
 LEAF, PIVOTS, TILE = 128, 4, 96
 #: Shingles hashed at a time, and words whose hash a task remembers.
 STEP, KNOWN_WORDS = 4_096, 500_000
 
-#: Odd factors and offsets of the minwise hashes, from one seed.
-_DRAWN = np.random.default_rng(12).integers(0, 1 << 63, (2, TOKENS, 1), np.uint64)
-FACTORS, OFFSETS = _DRAWN[0] << np.uint64(1) | np.uint64(1), _DRAWN[1]
+#: Odd factors of the minwise hashes, from one seed.
+FACTORS = np.random.default_rng(12).integers(
+    0, 1 << 63, (TOKENS, 1), np.uint64) << np.uint64(1) | np.uint64(1)
 _MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
 
 ROWS = "cls binary, n long, sig array<int>, at long"
@@ -86,7 +86,7 @@ def minwise(ids: np.ndarray) -> np.ndarray:
     """The set's minwise tokens."""
     least = np.full((TOKENS, 1), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(ids), STEP):
-        hashed = (ids[None, at:at + STEP] ^ OFFSETS) * FACTORS
+        hashed = ids[None, at:at + STEP] * FACTORS
         np.minimum(least, hashed.min(axis=1, keepdims=True), out=least)
     return (least[:, 0] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
@@ -147,9 +147,9 @@ def children(node: Column, percent: int) -> Column:
 
 
 def least_agreeing(percent: int) -> int:
-    """Tokens that two sets of the wanted similarity have in common but for five deviations."""
+    """Tokens that two sets of the wanted similarity have in common but for four deviations."""
     alike = percent / 100
-    return int(TOKENS * (alike - 5 * sqrt(alike * (1 - alike) / TOKENS)))
+    return int(TOKENS * (alike - 4 * sqrt(alike * (1 - alike) / TOKENS)))
 
 
 def mixed_nodes(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -203,7 +203,7 @@ def joining(label: np.ndarray, pairs: list[tuple[int, int]]) -> list[int]:
     return taken
 
 
-def alike_in_tiles(percent: int, forest: bool):
+def alike_in_tiles(percent: int, forest: bool) -> Callable:
     """Pairs of different labels whose sizes and tokens allow a link, from rows sorted by tile.
 
     With ``forest`` only the most alike pairs that connect what such pairs can connect.
@@ -270,7 +270,7 @@ def with_pivots(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that the full sets link."""
-    both = pairs.distinct().join(
+    both = small(pairs).join(
         sets.select(F.col("cls").alias("u"), F.col("ids").alias("left")), "u").join(
         sets.select(F.col("cls").alias("v"), F.col("ids").alias("right")), "v")
     shared = F.size(F.array_intersect("left", "right"))
@@ -280,43 +280,62 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                           >= percent * (F.col("total") - F.col("i")).cast("long")).select("u", "v")
 
 
-def connected(classes: DataFrame, sets_of, percent: int, recall: float) -> DataFrame | None:
-    """(cls, label) of the classes that links connect; None if there are none.
+def connected(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int,
+              recall: float) -> DataFrame:
+    """(cls, label) of the classes that links connect.
 
     ``sets_of`` gives the full sets of some classes.
     """
-    trees = trees_for(percent, LEVELS + 1, recall)
-    node = F.explode(children(F.xxhash64(F.lit("tree"), F.col("tree")), percent)).alias("node")
-    roots = classes.select("cls", "sig", F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("tree"))
-    nodes = roots.select("cls", node)
+    trees = trees_for(percent, FIRST_LEVELS + LEVELS, recall)
+    tree = F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("tree")
+    nodes = classes.select("cls", "sig", tree).select(
+        "cls", "sig", F.xxhash64(F.lit("tree"), F.col("tree")).alias("node"))
+    for _ in range(FIRST_LEVELS):
+        nodes = nodes.select("cls", "sig",
+                             F.explode(children(F.col("node"), percent)).alias("node"))
+    nodes = nodes.select("node", "cls")
     sets = labels = None
     links: list[DataFrame] = []
+    tried: list[DataFrame] = []
 
-    def add(pairs: DataFrame) -> DataFrame | None:
-        links.append(stored(confirmed(pairs, sets, percent)))
-        every = links[0]
-        for more in links[1:]:
+    def united(parts: list[DataFrame]) -> DataFrame:
+        every = parts[0]
+        for more in parts[1:]:
             every = every.unionAll(more)
-        return stored(components(every).select(F.col("node").alias("cls"),
-                                               F.col("root").alias("label")))
+        return every
+
+    def untried(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.distinct()
+        return stored(pairs.join(united(tried), ["u", "v"], "left_anti") if tried else pairs)
+
+    def add(pairs: DataFrame) -> DataFrame:
+        """The labels after the links of these pairs as well."""
+        tried.append(pairs)
+        links.append(stored(confirmed(pairs, sets, percent)))
+        if labels is not None and links[-1].isEmpty():
+            return labels
+        return stored(components(united(links)).select(
+            F.col("node").alias("cls"), F.col("root").alias("label")))
 
     for level in range(LEVELS + 1):
         mixed = stored(mixed_nodes(nodes, labels))
+        # the tokens of whoever shares a node go on, all others' stay
+        classes = stored(classes.join(mixed.select("cls").distinct(), "cls", "left_semi"))
         leaves = mixed if level == LEVELS else mixed.filter(F.col("members") <= LEAF)
         crowded = mixed.filter(F.col("members") > LEAF)
         pairs = exhaustive(leaves, classes, percent, forest=True)
         more = level < LEVELS and not crowded.isEmpty()
         if more:
             pairs = pairs.unionAll(with_pivots(crowded, classes, percent))
-        pairs = stored(pairs.distinct())
+        pairs = untried(pairs)
         if sets is None:
             # whoever may be linked at this level, or be compared further down
             members = pairs.select(F.col("u").alias("cls")).unionAll(
                 pairs.select(F.col("v").alias("cls"))).unionAll(crowded.select("cls"))
             sets = sets_of(members.distinct())
         labels = add(pairs)
-        open_leaves = mixed_nodes(leaves.select("node", "cls"), labels)
-        rest = stored(exhaustive(open_leaves, classes, percent, forest=False))
+        open_leaves = stored(mixed_nodes(leaves.select("node", "cls"), labels))
+        rest = untried(exhaustive(open_leaves, classes, percent, forest=False))
         if not rest.isEmpty():
             labels = add(rest)
         if not more:
