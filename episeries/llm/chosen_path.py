@@ -6,7 +6,10 @@ wanted similarity), and every member goes to the child of its token at that plac
 one node agree on every token chosen on the way. Sets as similar as wanted stay together in a
 tree with a known probability, and as many trees grow as the recall asks for. All sets take the
 first two levels, on narrow rows; nodes of one member go then, nodes of up to ``LEAF`` members are compared exhaustively, larger ones branch
-on. Pairs whose tokens agree often enough are confirmed on the full sets.
+on. Within a node, members that pairs of often enough agreeing tokens connect form a group; the
+same group found in several trees is one. Its full sets meet in one task, where all
+intersections are counted and only links that join something leave: a family of documents that
+just fail to be alike costs as many rows as it has members, not pairs.
 
 Groups of very many near copies would not shrink by branching. Their members are compared with a
 few pivots first, and nodes whose members are all connected by confirmed links are done: a
@@ -25,7 +28,7 @@ component. An empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from math import ceil, log, sqrt
 
 import numpy as np
@@ -184,9 +187,9 @@ def agreeing(sig: np.ndarray, step: int = 64) -> np.ndarray:
     return same
 
 
-def joining(label: np.ndarray, pairs: list[tuple[int, int]]) -> list[int]:
-    """Which of the pairs, in their order, join two labels that no earlier ones have joined."""
-    root = {}
+def joined(label: np.ndarray, pairs: Iterable[tuple[int, int]]) -> tuple[list, Callable]:
+    """Pairs that join two labels no earlier ones have joined, and each label's place then."""
+    root: dict[int, int] = {}
 
     def top(x: int) -> int:
         while root.setdefault(x, x) != x:
@@ -195,18 +198,19 @@ def joining(label: np.ndarray, pairs: list[tuple[int, int]]) -> list[int]:
         return x
 
     taken = []
-    for number, (i, j) in enumerate(pairs):
+    for i, j in pairs:
         a, b = top(int(label[i])), top(int(label[j]))
         if a != b:
             root[a] = b
-            taken.append(number)
-    return taken
+            taken.append((i, j))
+    return taken, top
 
 
-def alike_in_tiles(percent: int, forest: bool) -> Callable:
-    """Pairs of different labels whose sizes and tokens allow a link, from rows sorted by tile.
+def groups_in_tiles(percent: int) -> Callable:
+    """(tile, cls, label): the groups that may hold links, from rows sorted by tile.
 
-    With ``forest`` only the most alike pairs that connect what such pairs can connect.
+    Members of different labels are connected if their sizes and tokens allow a link. A group
+    is named by its members.
     """
     least = least_agreeing(percent)
 
@@ -215,40 +219,87 @@ def alike_in_tiles(percent: int, forest: bool) -> Callable:
             table = table.combine_chunks()
             tile, n, block, two = (table[c].to_numpy() for c in ("tile", "n", "block", "two"))
             sig = table["sig"].combine_chunks().flatten().to_numpy().reshape(-1, TOKENS)
-            cls = np.array(table["cls"].to_pylist(), object)
-            _, label = np.unique(np.array(table["label"].to_pylist(), "V16"), return_inverse=True)
-            starts, begin, us, vs = starts_of(tile), 0, [], []
+            cls, names = table["cls"].to_pylist(), table["label"].to_pylist()
+            label = np.unique(np.array(names, "V16"), return_inverse=True)[1]
+            starts, begin, rows = starts_of(tile), 0, []
             for place in range(1, len(starts)):
                 end = int(starts[place])
                 if end - begin < TILE and place < len(starts) - 1:
                     continue
-                rows = slice(begin, end)
-                same = agreeing(sig[rows])
-                i, j = np.nonzero(np.triu(same >= least, 1))
-                a, b = i + begin, j + begin
-                own = (tile[a] == tile[b]) & (label[a] != label[b]) & (
-                    ~two[a] | (block[a] != block[b])) & (
-                    100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
-                pairs = sorted(
-                    (-int(same[x - begin, y - begin]), *sorted((cls[x], cls[y])), x, y)
-                    for x, y in zip(a[own].tolist(), b[own].tolist(), strict=True))
-                if forest:
-                    pairs = [pairs[k] for k in joining(label, [p[3:] for p in pairs])]
-                us += [p[1] for p in pairs]
-                vs += [p[2] for p in pairs]
+                i, j = np.nonzero(np.triu(agreeing(sig[begin:end]) >= least, 1))
+                i, j = i + begin, j + begin
+                own = (tile[i] == tile[j]) & (label[i] != label[j]) & (
+                    ~two[i] | (block[i] != block[j])) & (
+                    100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+                i, j = i[own], j[own]
+                _, top = joined(np.arange(len(tile)), zip(i.tolist(), j.tolist(), strict=True))
+                groups: dict[int, list[int]] = {}
+                for member in sorted({*i.tolist(), *j.tolist()}):
+                    groups.setdefault(top(member), []).append(member)
+                for members in groups.values():
+                    name = xxhash.xxh64_intdigest(b"".join(sorted(cls[m] for m in members)))
+                    rows += [(name - (1 << 63), cls[m], names[m]) for m in members]
                 begin = end
-            if us:
+            if rows:
+                columns = [pa.array(c, k) for c, k in zip(
+                    zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["tile", "cls", "label"])
+
+    return run
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of every two sets."""
+    member = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    found, place = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    member, place = member[order], place[order]
+    shared = np.zeros((len(sets), len(sets)), np.int64)
+    for at in range(0, len(found), STEP):
+        first, after = np.searchsorted(place, [at, at + STEP])
+        holds = np.zeros((len(sets), STEP), np.float32)
+        holds[member[first:after], place[first:after] - at] = 1
+        shared += (holds @ holds.T).astype(np.int64)
+    return shared
+
+
+def links_in_groups(percent: int) -> Callable:
+    """(u, v): links of the full sets that connect what a group's links connect."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            starts = starts_of(table["tile"].to_numpy())
+            cls = table["cls"].to_pylist()
+            label = np.unique(np.array(table["label"].to_pylist(), "V16"), return_inverse=True)[1]
+            ids = table["ids"].combine_chunks()
+            ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+            found = []
+            for begin, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                sets = [flat[ends[k]:ends[k + 1]] for k in range(begin, end)]
+                size = np.array([len(s) for s in sets])
+                shared = intersections(sets)
+                linked = 100 * shared >= percent * (size[:, None] + size[None, :] - shared)
+                i, j = np.nonzero(np.triu(linked, 1))
+                found += joined(label, zip((i + begin).tolist(), (j + begin).tolist(),
+                                           strict=True))[0]
+            if found:
+                pairs = [sorted((cls[i], cls[j])) for i, j in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
+                    [pa.array(side, pa.binary()) for side in zip(*pairs, strict=True)], ["u", "v"])
 
     return run
 
 
-def exhaustive(nodes: DataFrame, classes: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """(u, v) that may link inside the nodes."""
+def candidate_groups(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(tile, cls, label) of the members of the nodes that may link, each group once."""
     rows = tiles(nodes).join(classes.select("cls", "n", "sig"), "cls")
     return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(
-        alike_in_tiles(percent, forest), "u binary, v binary")
+        groups_in_tiles(percent), "tile long, cls binary, label binary").distinct()
+
+
+def group_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    rows = groups.join(sets, "cls")
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(
+        links_in_groups(percent), "u binary, v binary")
 
 
 def with_pivots(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -294,50 +345,26 @@ def connected(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], per
         nodes = nodes.select("cls", "sig",
                              F.explode(children(F.col("node"), percent)).alias("node"))
     nodes = nodes.select("node", "cls")
-    sets = labels = None
-    links: list[DataFrame] = []
-    tried: list[DataFrame] = []
-
-    def united(parts: list[DataFrame]) -> DataFrame:
-        every = parts[0]
-        for more in parts[1:]:
-            every = every.unionAll(more)
-        return every
-
-    def untried(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.distinct()
-        return stored(pairs.join(united(tried), ["u", "v"], "left_anti") if tried else pairs)
-
-    def add(pairs: DataFrame) -> DataFrame:
-        """The labels after the links of these pairs as well."""
-        tried.append(pairs)
-        links.append(stored(confirmed(pairs, sets, percent)))
-        if labels is not None and links[-1].isEmpty():
-            return labels
-        return stored(components(united(links)).select(
-            F.col("node").alias("cls"), F.col("root").alias("label")))
-
+    sets = labels = links = None
     for level in range(LEVELS + 1):
         mixed = stored(mixed_nodes(nodes, labels))
         # the tokens of whoever shares a node go on, all others' stay
         classes = stored(classes.join(mixed.select("cls").distinct(), "cls", "left_semi"))
         leaves = mixed if level == LEVELS else mixed.filter(F.col("members") <= LEAF)
         crowded = mixed.filter(F.col("members") > LEAF)
-        pairs = exhaustive(leaves, classes, percent, forest=True)
+        groups = stored(candidate_groups(leaves, classes, percent))
         more = level < LEVELS and not crowded.isEmpty()
-        if more:
-            pairs = pairs.unionAll(with_pivots(crowded, classes, percent))
-        pairs = untried(pairs)
         if sets is None:
             # whoever may be linked at this level, or be compared further down
-            members = pairs.select(F.col("u").alias("cls")).unionAll(
-                pairs.select(F.col("v").alias("cls"))).unionAll(crowded.select("cls"))
-            sets = sets_of(members.distinct())
-        labels = add(pairs)
-        open_leaves = stored(mixed_nodes(leaves.select("node", "cls"), labels))
-        rest = untried(exhaustive(open_leaves, classes, percent, forest=False))
-        if not rest.isEmpty():
-            labels = add(rest)
+            sets = sets_of(groups.select("cls").unionAll(crowded.select("cls")).distinct())
+        found = group_links(groups, sets, percent)
+        if more:
+            found = found.unionAll(confirmed(with_pivots(crowded, classes, percent), sets, percent))
+        found = stored(found.distinct())
+        if labels is None or not found.isEmpty():
+            links = found if links is None else links.unionAll(found)
+            labels = stored(components(links).select(
+                F.col("node").alias("cls"), F.col("root").alias("label")))
         if not more:
             break
         nodes = mixed_nodes(crowded.select("node", "cls"), labels).join(

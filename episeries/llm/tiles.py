@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Groups are handed over together until so many rows are reached.
-CHUNK_ROWS = 20_000
+#: Groups are handed over together until so many rows or bytes are reached.
+CHUNK_ROWS, CHUNK_BYTES = 20_000, 16 << 20
 
 
 def starts_of(key: np.ndarray) -> np.ndarray:
@@ -20,17 +20,18 @@ def starts_of(key: np.ndarray) -> np.ndarray:
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str = "tile") -> Iterator[pa.Table]:
     """Tables of whole groups; at most one group and a chunk are held at a time."""
     held: list[pa.RecordBatch] = []
-    rows = 0
+    rows = size = 0
     for batch in batches:
         held.append(batch)
         rows += batch.num_rows
-        if rows < CHUNK_ROWS:
+        size += batch.nbytes
+        if rows < CHUNK_ROWS and size < CHUNK_BYTES:
             continue
         table = pa.Table.from_batches(held)
         last = int(starts_of(table[key].to_numpy())[-2])
         if last:
             yield table.slice(0, last)
         held = table.slice(last).to_batches()
-        rows = table.num_rows - last
+        rows, size = table.num_rows - last, 0
     if rows:
         yield pa.Table.from_batches(held)
