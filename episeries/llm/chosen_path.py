@@ -297,8 +297,9 @@ def candidate_groups(nodes: DataFrame, classes: DataFrame, percent: int) -> Data
 
 
 def group_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    # in the order of names, so that overlapping groups choose the same links
     rows = groups.join(sets, "cls")
-    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(
+    return rows.repartition("tile").sortWithinPartitions("tile", "cls").mapInArrow(
         links_in_groups(percent), "u binary, v binary")
 
 
