@@ -1,4 +1,4 @@
-"""One refresh: extracted tables, then analysed ones, each written once.
+"""One refresh: extracted tables, then analysed ones, each written once as a new version.
 
 Every table is written before the next step reads it, so steps share no long
 lineage and the three analyses of the daily panel do not recompute it.
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from episeries.plans import analyses, ingest, reports, serving
 from episeries.sources import files
-from episeries.sources.storage import copy_table, stored, write_table
+from episeries.sources.storage import copy_table, new_version, stored, write_table
 from episeries.streaming.intake import publish_batch, publish_new_files, published
 
 EXTRACTED = "extracted"
@@ -67,15 +67,28 @@ def take_reports(spark: SparkSession, root: str, series: str, pages: DataFrame |
 
 
 def refresh(spark: SparkSession, root: str, raw: Mapping[str, DataFrame | str], as_of: str) -> None:
-    """Rewrite all tables under ``root``.
+    """Write a new version of all tables under ``root``; it counts once all of it is there.
 
     ``raw`` holds the inputs: daily_counts, provinces, tests, test_provinces,
     population, death_causes, vaccination_sheets, daily_report_pages and
     weekly_report_pages; the two last may also be folders of page files, of which each run
     reads the new ones only. What could not be read is in the table ``extracted/rejects``.
     """
+    for series in SERIES:
+        take_reports(spark, root, series, raw[f"{series}_report_pages"])
+    with new_version(spark, f"{root}/{EXTRACTED}") as extracted, new_version(
+            spark, f"{root}/{ANALYSED}") as analysed:
+        write_tables(spark, {EXTRACTED: extracted, ANALYSED: analysed},
+                     f"{root}/{REPORTS}", raw, as_of)
+
+
+def write_tables(
+    spark: SparkSession, folders: Mapping[str, str], published_reports: str,
+    raw: Mapping[str, DataFrame | str], as_of: str,
+) -> None:
+    """Write the extracted and the analysed tables to the folder of each layer."""
     def path(layer: str, table: str) -> str:
-        return f"{root}/{layer}/{table}"
+        return f"{folders[layer]}/{table}"
 
     def extracted(table: str) -> DataFrame:
         return spark.read.parquet(path(EXTRACTED, table))
@@ -87,10 +100,8 @@ def refresh(spark: SparkSession, root: str, raw: Mapping[str, DataFrame | str],
         write_table(df, path(layer, table), table)
 
     def reported(series: str, table: str) -> DataFrame:
-        return published(spark, f"{root}/{REPORTS}/{series}", table)
+        return published(spark, f"{published_reports}/{series}", table)
 
-    for series in SERIES:
-        take_reports(spark, root, series, raw[f"{series}_report_pages"])
     sheets = raw["vaccination_sheets"]
     for table, df in {
         "daily_data": ingest.daily_panel(raw["daily_counts"], raw["provinces"]),
@@ -134,4 +145,4 @@ def refresh(spark: SparkSession, root: str, raw: Mapping[str, DataFrame | str],
           analyses.population_pyramid(population, analysed("covid_vs_all_deaths")))
 
     for table in serving.TABLES:
-        serving.store_counts(spark, f"{root}/{ANALYSED}", table)
+        serving.store_counts(spark, folders[ANALYSED], table)

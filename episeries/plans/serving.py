@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, MapType, StructType
 
 from episeries.plans import paging
-from episeries.sources.storage import folder_exists
+from episeries.sources.storage import current_version, folder_exists
 
 # The queryable tables and the filters each one allows.
 TABLES: dict[str, list[str]] = {
@@ -159,6 +159,7 @@ def query_table(
     """:func:`answer` on the table stored under ``root``, with its stored counts if it has any."""
     if table not in TABLES:
         raise KeyError(f"no such table: {table}")
+    root = current_version(spark, root)
     path = f"{root}/{PAGE_COUNTS}/{table}"
     counts = spark.read.parquet(path) if folder_exists(spark, path) else None
     return answer(spark.read.parquet(f"{root}/{table}"), table, filters, fields, limit, page,

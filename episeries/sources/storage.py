@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,9 @@ ACCESS_ORDER = {
     "clinic_description": ["-date", "symptom"],
 }
 
+#: Folders of versions, and the file that says one is complete.
+VERSION, COMPLETE = "version=", "_complete"
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder for intermediate data that the driver and all executors reach.
@@ -38,17 +43,21 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/episeries-{uuid.uuid4().hex}"
 
 
+def _files(spark: SparkSession, path):
+    """The file system of a path, whichever Spark reads it from."""
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a scratch copy, wherever Spark can write."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    _files(spark, folder).delete(folder, True)
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
     """Whether something is stored there, wherever Spark can read."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    return _files(spark, folder).exists(folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -59,19 +68,64 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A :func:`shared_folder` that goes when the driver's JVM ends."""
+    path = shared_folder(spark)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    _files(spark, folder).mkdirs(folder)
+    _files(spark, folder).deleteOnExit(folder)
+    return path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """A written copy in the shared folder, far smaller than a checkpoint of many rows.
 
     The copy goes when the driver's JVM ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/copy"
+    path = f"{scratch_folder(df.sparkSession)}/copy"
     df.write.parquet(path)
-    context = df.sparkSession.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Versions: a layer of tables is written aside and counts from the moment it is complete.
+
+def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
+    """The versions under ``root`` and whether each is complete."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = _files(spark, path(root))
+    if not files.exists(path(root)):
+        return {}
+    names = [entry.getPath().getName() for entry in files.listStatus(path(root))]
+    return {
+        int(name.removeprefix(VERSION)): files.exists(path(f"{root}/{name}/{COMPLETE}"))
+        for name in names if name.startswith(VERSION)
+    }
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """The folder of the newest complete version; ``root`` itself if it has no versions."""
+    complete = [n for n, done in _versions(spark, root).items() if done]
+    return f"{root}/{VERSION}{max(complete)}" if complete else root
+
+
+@contextmanager
+def new_version(spark: SparkSession, root: str, keep: int = 2) -> Iterator[str]:
+    """A folder to write the next version in; readers see it when the block ends without error.
+
+    The last ``keep`` complete versions stay for readers under way. What a lost run left
+    unfinished is never read and goes with the next success. One writer at a time.
+    """
+    number = max(_versions(spark, root), default=-1) + 1
+    folder = f"{root}/{VERSION}{number}"
+    yield folder
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{COMPLETE}")
+    _files(spark, mark).create(mark).close()
+    complete = sorted(n for n, done in _versions(spark, root).items() if done)[-keep:]
+    for n in _versions(spark, root):
+        if n not in complete:
+            remove_folder(spark, f"{root}/{VERSION}{n}")
+
+
 def access_order(df: DataFrame, table: str) -> list[str]:
     wanted = ACCESS_ORDER.get(table, DEFAULT_ORDER)
     return [c for c in wanted if c.lstrip("-") in df.columns]

@@ -186,7 +186,7 @@ def test_refresh_and_queries(spark, raw, folder):
     daily_run.refresh(spark, folder, raw, as_of="2021-01-03")
     root = f"{folder}/{daily_run.ANALYSED}"
     for table in serving.TABLES:
-        assert spark.read.parquet(f"{root}/{table}").columns, table
+        assert spark.read.parquet(f"{storage.current_version(spark, root)}/{table}").columns, table
 
     cases = serving.query_table(spark, root, "cases", {
         "autonomous_region": "Navarra", "gender": "total", "age_range": "total", "date": ""})
