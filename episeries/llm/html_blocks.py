@@ -5,25 +5,27 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 
 # Elements of HTML that matter for cutting a page into blocks.
 INLINE = set("a abbr acronym b bdi bdo big cite code data dfn em font i ins del kbd label mark "
              "nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img "
-             "picture source input button".split())
+             "picture source input math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot "
+             "mover munder munderover mspace mstyle semantics annotation noscript object canvas svg".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|svg|iframe|object|math|canvas"
+RAW = "script|style|template|iframe"
+# A drawing ends where it says so; one that is never closed takes nothing with it.
+DRAWING = r"<svg\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|>.*?</svg\s*>)"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b.*?(?:</(?P=raw)\s*>|\Z)|{DRAWING}|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)"
     r"(?P<more>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I)
 NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 PART = re.compile(r"[a-z]+")
 
-PATH, WORDS, PLAIN = 128, 32, 8
+PATH, WORDS, PLAIN = 256, 32, 8
 N_FEATURES = PATH + WORDS + PLAIN
 
 
@@ -72,7 +74,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag == "br":
             text.append(" ")
         elif tag in INLINE:
-            if tag in VOID or tag == "button":
+            if tag in VOID:
                 text.append(" ")
         elif found["end"]:
             close()
@@ -92,7 +94,6 @@ def blocks_of(page: str | None) -> list[Block]:
     return out
 
 
-@lru_cache(maxsize=1 << 16)
 def place(kind: str, word: str) -> tuple[int, float]:
     """Where a hashed word counts, and with which sign."""
     number = zlib.crc32(f"{kind} {word}".encode())
@@ -100,7 +101,6 @@ def place(kind: str, word: str) -> tuple[int, float]:
     return number % size, 1.0 if kind == "path" or number >> 20 & 1 else -1.0
 
 
-@lru_cache(maxsize=4096)
 def path_vector(path: tuple[str, ...]) -> np.ndarray:
     """Steps near the block and words of their attributes, hashed."""
     out = np.zeros(PATH, np.float32)
@@ -111,14 +111,38 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
     return np.minimum(out, 2)
 
 
-def features(blocks: list[Block]) -> np.ndarray:
+class Hashing:
+    """Places and path vectors already worked out; made inside a task and bounded."""
+
+    def __init__(self, most: int = 1 << 16) -> None:
+        self.places: dict[str, tuple[int, float]] = {}
+        self.paths: dict[tuple[str, ...], np.ndarray] = {}
+        self.most = most
+
+    def place(self, word: str) -> tuple[int, float]:
+        if word not in self.places:
+            if len(self.places) >= self.most:
+                self.places.clear()
+            self.places[word] = place("word", word)
+        return self.places[word]
+
+    def path_vector(self, path: tuple[str, ...]) -> np.ndarray:
+        if path not in self.paths:
+            if len(self.paths) >= self.most >> 4:
+                self.paths.clear()
+            self.paths[path] = path_vector(path)
+        return self.paths[path]
+
+
+def features(blocks: list[Block], hashing: Hashing | None = None) -> np.ndarray:
     """A row per block: hashed path, hashed words, lengths, link share, punctuation, place."""
+    hashing = hashing or Hashing()
     out = np.zeros((len(blocks), N_FEATURES), np.float32)
     for i, block in enumerate(blocks):
-        out[i, :PATH] = path_vector(block.path)
+        out[i, :PATH] = hashing.path_vector(block.path)
         words = block.text.lower().split()
         for word in words:
-            at, sign = place("word", word)
+            at, sign = hashing.place(word)
             out[i, PATH + at] += sign
         out[i, PATH: PATH + WORDS] /= len(words)
         n = len(block.text)

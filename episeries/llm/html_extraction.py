@@ -24,24 +24,24 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episeries.llm.html_blocks import N_FEATURES, Block, blocks_of, features
+from episeries.llm.html_blocks import N_FEATURES, Block, Hashing, blocks_of, features
 
 HIDDEN = 24
-MADE_PAGES, SAMPLED_PAGES = 500, 200
-EPOCHS = 8
+MADE_PAGES, SAMPLED_PAGES = 900, 200
+EPOCHS = 10
 
 # Words in element names, classes and ids that tell what an element is for.
 ASIDE = set("nav menu header footer aside sidebar side ad ads advert advertisement banner cookie "
             "cookies consent notice alert promo sponsor sponsored comment comments reply replies "
             "form search login subscribe newsletter related share social breadcrumb breadcrumbs "
-            "pagination pager widget head title copyright popup modal".split())
+            "pagination pager widget head title copyright popup modal button select textarea".split())
 MAIN = set("article main content post entry story".split())
 LAYOUTS = ["article", "main", "div class=content", "div id=main-content", "div class=post-body",
            "section class=entry", "article class=post", "div role=main", "td class=story", "main id=article"]
 EXTRAS = ["div class=ad", "div class='ad banner'", "aside class=sidebar", "div class=cookie-notice",
           "div id=newsletter", "div class=related", "div class=share", "section class=comments",
           "div id=comments", "ol class=comment-list", "div class=promo", "aside", "div class=alert",
-          "form class=search", "form id=login", "div class=sponsored", "div class=widget"]
+          "form class=search", "form id=login", "div class=sponsored", "div class=widget", "form"]
 
 
 class Direction:
@@ -131,10 +131,11 @@ class Labeller:
                                               turned(dh[:, :, HIDDEN:], lengths)),
                           np.append(np.tensordot(miss, h, ([0, 1], [0, 1])), miss.sum())]
                 step += 1
+                rate = 0.01 * (1 - step / (1 + epochs * len(groups)))
                 for param, m, s, slope in zip(params, means, squares, slopes, strict=True):
                     m += 0.1 * (slope - m)
                     s += 0.01 * (slope**2 - s)
-                    param -= (0.01 * m / (1 - 0.9**step)
+                    param -= (rate * m / (1 - 0.9**step)
                               / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
 
 
@@ -180,6 +181,13 @@ def made_page(rng: random.Random) -> tuple[str, list[int]]:
         return "<ul>" + "".join(block(
             "li", f"<a href='/{word()}'>{words(1, 3)}</a>", 0) for _ in range(n)) + "</ul>"
 
+    def form() -> str:
+        some = "".join(
+            block(rng.choice(["p", "div", "p class=row"]), words(1, 6), 0)
+            if rng.random() < 0.7 else block(rng.choice(["button", "textarea"]), words(1, 3), 0)
+            for _ in range(rng.randint(1, 4)))
+        return f"<form{rng.choice(['', ' action=/send', ' method=post'])}>{some}<input></form>"
+
     def extra() -> str:
         tag = rng.choice(EXTRAS)
         kind = rng.random()
@@ -204,12 +212,12 @@ def made_page(rng: random.Random) -> tuple[str, list[int]]:
         body.append(f"<header>{head}</header>" if rng.random() < 0.15 else head)
     for _ in range(rng.choice([1, 2, 4, 8, 14])):
         kind = rng.random()
-        if kind < 0.06 and len(body) > 1:
-            body.append(extra())
-        elif kind < 0.14:
+        if kind < 0.1 and len(body) > 1:
+            body.append(form() if rng.random() < 0.3 else extra())
+        elif kind < 0.18:
             body.append("<ul>" + "".join(block("li", words(2, 15), 1)
                                          for _ in range(rng.randint(1, 4))) + "</ul>")
-        elif kind < 0.2:
+        elif kind < 0.24:
             body.append(block(rng.choice(["h2", "h3", "blockquote", "pre", "figcaption"]), words(1, 12), 1))
         else:
             text = words(1, rng.choice([3, 30, 120]))
@@ -257,14 +265,14 @@ def learned(pages: DataFrame, made: int = MADE_PAGES, sampled: int = SAMPLED_PAG
 
 def texts(pages: list[str | None], labeller: Labeller) -> list[str]:
     """The main text of each page."""
-    cut = [blocks_of(p) for p in pages]
+    cut, hashing = [blocks_of(p) for p in pages], Hashing()
     out = [""] * len(pages)
     order = sorted((i for i in range(len(cut)) if cut[i]), key=lambda i: len(cut[i]))
     at = 0
     while at < len(order):  # at most about 2**13 blocks at a time, unless one page has more
         size = max(1, (1 << 13) // len(cut[order[min(at + 127, len(order) - 1)]]))
         some = order[at: at + min(128, size)]
-        x, lengths = padded([features(cut[i]) for i in some])
+        x, lengths = padded([features(cut[i], hashing) for i in some])
         for i, p in zip(some, labeller.run(x, lengths)[0], strict=True):
             out[i] = "\n".join(b.text for b, q in zip(cut[i], p, strict=False) if q >= 0.5)
         at += len(some)
