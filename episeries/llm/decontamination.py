@@ -10,14 +10,17 @@ Fingerprints are made inside each row with array functions. What moves is one na
 run of spans that keep the same hash; texts are read again only for documents with a hit.
 
 Defined cases: NULL text has no words; an item without words has no window; a NULL
-``item_id`` is left out of the item lists but its windows hit. Repeated document rows with one
-``doc_id`` are separate rows with equal results; a NULL ``doc_id`` is a document like any other.
+``item_id`` is left out of the item lists but its windows hit. Rows that share a ``doc_id``, or have
+none, are documents of their own: a document is known by its id and 128 bits of its text, so
+only repeated rows, whose results are equal, go together.
 Empty tables give no rows, or rows without hits. Other columns are not read; ``keep`` passes
 them through.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,22 @@ from episeries.llm.common import ALNUM_GAP, lower_ascii, small, words_of
 from episeries.sources.storage import cut_lineage
 
 WINDOW = 10
+#: What a document is known by while its text is elsewhere.
+KEY = ["doc_id", "__text_a", "__text_b"]
+
+
+def keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    """The documents by key, with what else is asked for."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.xxhash64(text).alias(KEY[1]),
+                       F.xxhash64(F.lit(1), text).alias(KEY[2]), *more)
+
+
+def meet(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """Join rows by key with ``found``, whose key columns go again."""
+    other = found.withColumnsRenamed({k: f"{k}__found" for k in KEY})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"{k}__found")) for k in KEY])
+    return rows.join(other, same, how).drop(*[f"{k}__found" for k in KEY])
 
 
 def words(text: Column) -> Column:
@@ -95,55 +114,51 @@ def anchored(windows: DataFrame, length: int) -> DataFrame:
 
 
 def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, first (0-based word), length, item_id of every window that occurs."""
+    """The key, first (0-based word), length, item_id of every window that occurs."""
     windows = cut_lineage(benchmark_windows(benchmark, window))
     # at most `window` different lengths
     lengths = sorted(r.length for r in windows.select("length").distinct().collect())
-    texts = docs.select("doc_id", "text")
     found = None
     for length in lengths:
-        tokens = texts.select("doc_id", hashes(words(F.col("text"))).alias("hashed"))
-        seeds = runs(tokens, length, "doc_id").join(
+        tokens = keyed(docs, hashes(words(F.col("text"))).alias("hashed"))
+        seeds = runs(tokens, length, *KEY).join(
             small(cut_lineage(anchored(windows, length))), "anchor"
-        ).select("doc_id", F.lit(length).alias("length"), "first", "last")
+        ).select(*KEY, F.lit(length).alias("length"), "first", "last")
         found = seeds if found is None else found.unionAll(seeds)
     if found is None:
-        found = texts.select("doc_id", F.lit(0).alias("length"), F.lit(0).alias("first"),
-                             F.lit(0).alias("last")).limit(0)
-    seeds = found.groupBy("doc_id").agg(
+        found = keyed(docs, F.lit(0).alias("length"), F.lit(0).alias("first"),
+                      F.lit(0).alias("last")).limit(0)
+    seeds = found.groupBy(*KEY).agg(
         F.collect_set(F.struct("length", "first", "last")).alias("seeds"))
-    seeds = seeds.withColumnRenamed("doc_id", "seed_doc")  # grows with the documents: shuffled
+    # the seeds grow with the documents: shuffled
     spans = (
-        texts.join(seeds, F.col("doc_id").eqNullSafe(F.col("seed_doc")))
-        .select("doc_id", words(F.col("text")).alias("words"), F.explode("seeds").alias("seed"))
-        .select("doc_id", F.col("seed.length").alias("length"), F.expr(
+        meet(keyed(docs, "text"), seeds, "inner")
+        .select(*KEY, words(F.col("text")).alias("words"), F.explode("seeds").alias("seed"))
+        .select(*KEY, F.col("seed.length").alias("length"), F.expr(
             "inline(transform(sequence(seed.first, seed.last), s -> struct(s AS first, "
             "array_join(slice(words, s + 1, seed.length), ' ') AS span)))"))
         .distinct()
     )
     return spans.join(small(windows), ["length", "span"]).select(
-        "doc_id", "first", "length", "item_id")
+        *KEY, "first", "length", "item_id")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: its words, hit words, items with occurring windows."""
     hits = cut_lineage(document_hits(docs, benchmark, window))
     covered = (
-        hits.groupBy("doc_id").agg(F.expr(
+        hits.groupBy(*KEY).agg(F.expr(
             "array_sort(collect_set(struct(first, first + length AS end)))").alias("spans"),
             F.expr("array_sort(collect_set(CAST(item_id AS STRING)))").alias("items"))
-        .select(F.col("doc_id").alias("hit_doc"), "items", F.expr("""
+        .select(*KEY, "items", F.expr("""
             aggregate(spans, struct(0L AS n, 0 AS upto), (a, s) -> struct(
                 a.n + greatest(0, s.end - greatest(s.first, a.upto)) AS n,
                 greatest(a.upto, s.end) AS upto), a -> a.n)""").alias("n_hit"))
     )
-    counted = docs.select("doc_id", F.size(
-        words_of(F.col("text"), ALNUM_GAP)).cast("long").alias("n_words"))
+    counted = keyed(docs, F.size(words_of(F.col("text"), ALNUM_GAP)).cast("long").alias("n_words"))
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return counted.join(
-        covered, F.col("doc_id").eqNullSafe(F.col("hit_doc")), "left"
-    ).select(
+    return meet(counted, covered, "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
@@ -152,5 +167,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def keep(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any hit, with all their columns."""
-    bad = document_hits(docs, benchmark).select(F.col("doc_id").alias("__hit_doc")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__hit_doc")), "left_anti")
+    bad = document_hits(docs, benchmark).select(*KEY).distinct()
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.withColumns({KEY[1]: F.xxhash64(text), KEY[2]: F.xxhash64(F.lit(1), text)})
+    return meet(rows, bad, "left_anti").drop(*KEY[1:])
