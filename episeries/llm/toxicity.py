@@ -11,8 +11,9 @@ features, scores and decisions are computed for every row and whole text, each i
 row, so nothing but the labelled rows' ids and features is moved.
 
 Defined cases: NULL and empty texts have all features zero and get the score that goes with
-them. NULL labels and labels without a document teach nothing. Without labels of both kinds the score is
-the share of toxic labels, 0 if there are none. Repeated rows get equal scores. Other columns are
+them. NULL labels and labels without a document teach nothing. With fewer than ``FEW`` labels of a
+kind all steps learn from all of them, as parts would be too small to tell. Without labels of both
+kinds the score is the share of toxic labels, 0 if there are none. Repeated rows get equal scores. Other columns are
 not read; ``keep`` passes them through.
 """
 
@@ -38,6 +39,8 @@ from episeries.sources.storage import cut_lineage
 TRAIN_ROWS = 12_000
 LEXICON_SIZE = 4_000
 TREES = 16
+#: Labels of each kind from which on lexicon, trees and calibration learn from rows of their own.
+FEW = 40
 THRESHOLD = 0.5
 BEGINNING = 5
 
@@ -113,14 +116,14 @@ def parts(label: str):
 
 
 def lexicon(rows: DataFrame, label: str) -> tuple[set[str], set[str]]:
-    """Words and beginnings that at least three positive rows hold, far above their share."""
+    """Words and beginnings that three positive rows hold, or all, far above their share."""
     n = rows.agg(F.sum(label).alias("pos"), F.count("*").alias("all")).first()
     odds = F.expr(f"((pos + 0.2) / {(n.pos or 0) + 1}) / ((seen - pos + 0.2) / "
                   f"{n.all - (n.pos or 0) + 1})")
     best = (
         rows.select("text", label).mapInPandas(parts(label), "part string, start boolean, y int")
         .groupBy("part", "start").agg(F.sum("y").alias("pos"), F.count("*").alias("seen"))
-        .filter("pos >= 3").withColumn("odds", odds).filter("odds >= 12")
+        .filter(f"pos >= {max(1, min(3, n.pos or 0))}").withColumn("odds", odds).filter("odds >= 12")
         .orderBy(F.desc("pos"), F.desc("odds"), "part", "start").limit(LEXICON_SIZE).collect()
     )
     return ({r.part for r in best if not r.start}, {r.part for r in best if r.start})
@@ -131,23 +134,28 @@ class Model:
 
     def __init__(self, docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> None:
         rows = labelled(docs, labels, "toxic", most)
-        self.words, self.starts = lexicon(rows.filter("fold < 50"), "toxic")
+        self.words, self.starts = set(), set()
         self.trees = self.calibration = None
         kinds = {(r.part, r.toxic): r.n for r in rows.groupBy(
             F.expr("CASE WHEN fold < 50 THEN 0 WHEN fold < 85 THEN 1 ELSE 2 END").alias("part"),
             "toxic").agg(F.count("*").alias("n")).collect()}
-        self.prior = sum(n for (_, y), n in kinds.items() if y) / max(1, sum(kinds.values()))
-        if len(kinds) < 6:  # a part lacks a kind of label
+        toxic = sum(n for (_, y), n in kinds.items() if y)
+        clean = sum(kinds.values()) - toxic
+        self.prior = toxic / max(1, toxic + clean)
+        if not toxic or not clean:
             return
-        made = cut_lineage(self.vectors(rows.filter("fold >= 50")).select(
+        few = len(kinds) < 6 or min(toxic, clean) < FEW
+        first, second, third = ("true",) * 3 if few else ("fold < 50", "fold < 85", "fold >= 85")
+        self.words, self.starts = lexicon(rows.filter(first), "toxic")
+        made = cut_lineage(self.vectors(rows if few else rows.filter("fold >= 50")).select(
             "toxic", "fold", "__vector"))
         self.trees = GBTClassifier(
             labelCol="toxic", featuresCol="__vector", predictionCol="__class", maxIter=TREES,
-            maxDepth=3, stepSize=0.3, minInstancesPerNode=3, seed=7,
-        ).setProbabilityCol("__chance").setRawPredictionCol("__raw").fit(made.filter("fold < 85"))
+            maxDepth=3, stepSize=0.3, minInstancesPerNode=min(3, toxic, clean), seed=7,
+        ).setProbabilityCol("__chance").setRawPredictionCol("__raw").fit(made.filter(second))
         self.calibration = IsotonicRegression(
             labelCol="toxic", featuresCol="__margin", predictionCol="__score").fit(
-            self.margins(made.filter("fold >= 85")))
+            self.margins(made.filter(third)))
 
     def vectors(self, df: DataFrame) -> DataFrame:
         return df.withColumn(
