@@ -5,9 +5,14 @@ Every line of a text is labelled good or bad. A line is described by what stands
 it; neighbouring labels influence each other. Forward and backward sums give each line's
 probability of being good, and a document's score is their mean, weighted by line length.
 
-The field learns from about ``TRAIN_ROWS`` labelled documents, never held-out ones, whose lines take the
-document's label. Fitting is a few hundred gradient steps on the driver over that bounded
-sample. Scoring handles every line of every whole text, each row by itself.
+The field learns from about ``TRAIN_ROWS`` labelled documents, never held-out ones, of each at
+most ``FIT_LINES`` lines in a row. Lines have no labels of their own: first each takes its
+document's, and a field without moves is fitted. Then, in ``ROUNDS`` rounds, lines that the fitted
+field is sure stand against their document's label change sides, the surest first, as long as lines of the
+document's label keep more than ``SHARE`` of its length; and the whole field is fitted to
+the lines so labelled. The moves between labels are so learned from documents that hold both.
+Fitting is a few hundred gradient steps on the driver over that bounded sample. Scoring handles
+every line of every whole text, each row by itself.
 
 Defined cases: NULL and empty texts are one empty line. Without labels of both kinds every
 score is the share of good labels, 0.5 if there are none. Repeated rows get equal scores. An
@@ -17,6 +22,7 @@ empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -30,8 +36,13 @@ from episeries.llm.learning import labelled
 TRAIN_ROWS = 6_000
 THRESHOLD = 0.3
 STEPS = 250
-#: Chains are cut to this many lines for fitting, never for scoring.
+#: Lines of a text that fitting sees; scoring sees all.
 FIT_LINES = 256
+#: Rounds of labelling lines anew, how sure a change must be, and the share of a document's
+#: length that lines of its own label keep.
+ROUNDS, SURE, SHARE = 2, 0.8, 0.6
+#: Penalties of weights and of moves; few documents hold both labels, so moves stay moderate.
+PENALTY, MOVE_PENALTY = 1e-4, 2e-2
 KINDS = 7
 OWN = 13
 N_FEATURES = OWN + 2 * 5 + 2
@@ -123,32 +134,40 @@ def marginals(block: np.ndarray, mask: np.ndarray, weights: np.ndarray,
     return np.exp(np.minimum(ahead[:, :, 1] + back[:, :, 1] - total[:, None], 0))
 
 
-def fit(texts: list[np.ndarray], labels: list[int], steps: int = STEPS) -> tuple:
-    """Weights and moves that maximise the penalised likelihood of the line labels."""
-    cut = [(f[at: at + FIT_LINES], y) for f, y in zip(texts, labels, strict=True)
-           for at in range(0, len(f), FIT_LINES)]
-    cut.sort(key=lambda c: len(c[0]))
-    groups = [cut[at: at + 1024] for at in range(0, len(cut), 1024)]
-    blocks = [(*chains([f for f, _ in g]), np.array([y for _, y in g])) for g in groups]
+def fit(texts: list[np.ndarray], labels: list, steps: int = STEPS, chain: bool = True) -> tuple:
+    """Weights and moves that maximise the penalised likelihood of the line labels.
+
+    ``labels`` holds a label for each text or for each of its lines.
+    """
+    cut = sorted(((f, np.broadcast_to(y, len(f))) for f, y in zip(texts, labels, strict=True)),
+                 key=lambda c: len(c[0]))
+    blocks = []
+    for at in range(0, len(cut), 1024):
+        block, mask = chains([f for f, _ in cut[at: at + 1024]])
+        wanted = np.zeros(mask.shape, np.int64)
+        wanted[mask] = np.concatenate([y for _, y in cut[at: at + 1024]])
+        blocks.append((block, mask, wanted))
     lines = sum(int(mask.sum()) for _, mask, _ in blocks)
     theta = np.zeros(N_FEATURES + 4)
+    penalty = np.r_[np.full(N_FEATURES, PENALTY), np.full(4, MOVE_PENALTY)]
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         weights, move = theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2)
         slope = np.zeros_like(theta)
-        for block, mask, y in blocks:
+        for block, mask, wanted in blocks:
             state = states(block, weights)
             ahead, back, total = sums(state, mask, move)
             good = np.exp(ahead[:, :, 1] + back[:, :, 1] - total[:, None])
-            miss = np.where(mask, y[:, None] - good, 0)
+            miss = np.where(mask, wanted - good, 0)
             slope[:N_FEATURES] += np.einsum("dl,dlf->f", miss, block)
-            pair = np.exp(np.minimum(
-                ahead[:, :-1, :, None] + move + (state + back)[:, 1:, None, :]
-                - total[:, None, None, None], 0)) * mask[:, 1:, None, None]
-            same = mask[:, 1:].sum(axis=1)
-            seen = np.array([[same[y == 0].sum(), 0], [0, same[y == 1].sum()]])
-            slope[N_FEATURES:] += (seen - pair.sum(axis=(0, 1))).ravel()
-        slope = slope / lines - 1e-4 * theta
+            if chain:
+                inner = mask[:, 1:]
+                pair = np.exp(np.minimum(
+                    ahead[:, :-1, :, None] + move + (state + back)[:, 1:, None, :]
+                    - total[:, None, None, None], 0)) * inner[:, :, None, None]
+                seen = np.bincount((2 * wanted[:, :-1] + wanted[:, 1:])[inner], minlength=4)
+                slope[N_FEATURES:] += seen - pair.sum(axis=(0, 1)).ravel()
+        slope = slope / lines - penalty * theta
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
         theta = theta + 0.1 * (mean / (1 - 0.9**step)) / (
@@ -156,6 +175,29 @@ def fit(texts: list[np.ndarray], labels: list[int], steps: int = STEPS) -> tuple
     return theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2)
 
 
+def line_labels(good: np.ndarray, length: np.ndarray, label: int) -> np.ndarray:
+    """Labels of a document's lines from their probabilities of being good."""
+    own = good if label else 1 - good
+    order = np.argsort(own, kind="stable")
+    sure = own[order] <= 1 - SURE
+    room = np.cumsum(length[order]) < (1 - SHARE) * length.sum()
+    labels = np.full(len(good), label)
+    labels[order[sure & room]] = 1 - label
+    return labels
+
+
+def fit_lines(texts: list[np.ndarray], labels: list[int], rounds: int = ROUNDS) -> tuple:
+    """The field for texts that have a label, whose lines have none."""
+    weights, move = fit(texts, labels, chain=False)
+    for _ in range(rounds):
+        lined = []
+        for f, y in zip(texts, labels, strict=True):
+            good = marginals(f[None], np.ones((1, len(f)), bool), weights, move)[0]
+            lined.append(line_labels(good, np.expm1(5 * f[:, 1]) + 1, y))
+        weights, move = fit(texts, lined)
+    return weights, move
+
+
 def scorer(weights: np.ndarray, move: np.ndarray):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         kinds = byte_kinds()
@@ -179,23 +221,26 @@ def scorer(weights: np.ndarray, move: np.ndarray):
 
 
 def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Labelled texts to their lines' features, as bytes."""
+    """Labelled texts to their lines' features, as bytes; of long ones a stretch of lines."""
     kinds = byte_kinds()
     for batch in batches:
-        yield pd.DataFrame({
-            "doc_id": batch["doc_id"], "quality": batch["quality"],
-            "lines": [line_features(t, kinds)[0].tobytes() for t in batch["text"]]})
+        lines = []
+        for text in batch["text"]:
+            made = line_features(text, kinds)[0]
+            start = crc32((text or "").encode()) % max(1, len(made) - FIT_LINES + 1)
+            lines.append(made[start: start + FIT_LINES].astype(np.float32).tobytes())
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "lines": lines})
 
 
 def learned(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple | float:
     """The fitted field, or the share of good labels if there is only one kind."""
     rows = labelled(docs, labels, "quality", most).mapInPandas(
         described, "doc_id long, quality int, lines binary").toPandas()  # about ``most`` rows
-    rows = rows.sort_values("doc_id")
+    rows = rows.sort_values(["doc_id", "quality", "lines"])
     if rows["quality"].nunique() < 2:
         return float(rows["quality"].mean()) if len(rows) else 0.5
-    return fit([np.frombuffer(b).reshape(-1, N_FEATURES) for b in rows["lines"]],
-               rows["quality"].tolist())
+    return fit_lines([np.frombuffer(b, np.float32).reshape(-1, N_FEATURES).astype(float)
+                      for b in rows["lines"]], rows["quality"].tolist())
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
