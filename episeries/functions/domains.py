@@ -173,8 +173,7 @@ OUTBREAK_REPAIRS = [
     (r", ", "/"),
     (r" y/o ", "/"),
     (r"1 A efectos de notificación .* de un mismo domicilio.", ""),
-    (r"([A-zÀ-ú]) ([A-zÀ-ú])", "$1_$2"),
-    (r"([A-zÀ-ú]) ([A-zÀ-ú])", "$1_$2"),
+    (r" (?<=[A-zÀ-ú] )(?=[A-zÀ-ú])", "_"),
 ]
 
 # Index-page links that lead to reports.

@@ -1,8 +1,9 @@
 """Report page texts to tables.
 
-Input: ``pages(report_id, report_date, page_no, text)``. A page is parsed where
-it lies, with array functions on its words; only the small index of table
-titles and the pages that hold a wanted table are ever exchanged.
+Input: ``pages(report_id, report_date, page_no, text)``. Every page is read once;
+those with a title are brought together by report, where windows over their title
+numbers pick the wanted ones. The text of a table is cut into rows by one split,
+and only rows, not words, meet array functions.
 
 Each table has a reader (``read_…``) that gives a value or a reason: a row with its label and
 the cells it could not read, or, for a report of which no row could be read, one row that says
@@ -116,21 +117,53 @@ def located_table(pages: DataFrame, title: str) -> DataFrame:
 def pages_of_named_table(pages: DataFrame, name: str, following: int = 0) -> DataFrame:
     """Page of a named table per report, with the pages that follow it.
 
-    The page joins back on its own key. Pages without any title are dropped
-    before that join unless a following page is wanted.
+    The pages that :func:`located_table` names, found in one pass: the pages of a report
+    meet once, with their title numbers beside them. Pages without any title are dropped
+    before that unless a following page is wanted.
     """
-    target = located_table(pages, d.TABLE_TITLES[name])
-    parts = F.sequence(F.lit(0), F.lit(following))
-    target = target.select(
-        "report_id", "table_no", "position", "page_no", F.explode(parts).alias("part")
-    ).withColumn("page_no", F.col("page_no") + F.col("part"))
-    texts = pages if following else pages.filter(F.contains("text", F.lit("Tabla ")))
-    return texts.join(target, ["report_id", "page_no"])
+    others = [c for c in pages.columns if c not in ("report_id", "page_no")]
+    if not following:
+        pages = pages_where(pages, lambda text: F.contains(text, F.lit("Tabla ")))
+    named = F.regexp_extract(
+        F.regexp_extract("text", d.TABLE_TITLES[name], 0), r"^Tabla ([0-9]+)", 1)
+    numbers = F.array_distinct(F.regexp_extract_all("text", F.lit(d.NUMBERED_TITLE), F.lit(1)))
+    report = Window.partitionBy("report_id")
+    table = Window.partitionBy("report_id", "table_no")
+    place = F.col("page_no")
+
+    def last_page(step: int) -> Column:
+        number = F.col("table_no").cast("long") + step
+        return F.max(F.when(F.array_contains("_numbers", number), place)).over(table)
+
+    read = pages.filter("report_id IS NOT NULL").select(
+        "report_id", "page_no", *others, whole_number(named, "int").alias("_named"),
+        F.transform(numbers, lambda n: whole_number(n, "int").cast("long")).alias("_numbers"))
+    first = read.withColumn(
+        "_first", F.min(F.when(F.col("_named").isNotNull(), place)).over(report))
+    found = first.withColumn(
+        "_wanted", F.collect_set(F.when(place == F.col("_first"), F.col("_named"))).over(report)
+    ).select("report_id", "page_no", *others, "_numbers", F.explode("_wanted").alias("table_no"))
+    last = found.select("*", last_page(0).alias("_last"), last_page(1).alias("_next"),
+                        last_page(-1).alias("_previous"))
+    position = F.when(F.col("_next") == F.col("_last"), -1).when(
+        F.col("_previous") == F.col("_last"), 1).otherwise(0)
+    part = place - F.col("_last")
+    return last.filter(part.between(0, following)).select(
+        "report_id", "page_no", *others, "table_no", position.alias("position"),
+        part.cast("int").alias("part"))
+
+
+def pages_where(pages: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
+    """The pages with such a text. A plain filter would be pushed below the step that made the
+    text, which would then be made twice."""
+    others = [c for c in pages.columns if c != "text"]
+    return pages.select(
+        *others, F.explode(F.filter(F.array("text"), wanted)).alias("text")).select(*pages.columns)
 
 
 def pages_of_table(pages: DataFrame, table_no: int) -> DataFrame:
     """Last page that titles the given number, per report."""
-    titled = pages.filter(F.col("text").rlike(rf"Tabla {table_no}[a-z]?[.,]"))
+    titled = pages_where(pages, lambda text: text.rlike(rf"Tabla {table_no}[a-z]?[.,]"))
     return titled.groupBy("report_id").agg(
         F.max_by(F.struct("report_date", "text"), "page_no").alias("_p")
     ).select(
@@ -141,12 +174,22 @@ def pages_of_table(pages: DataFrame, table_no: int) -> DataFrame:
 
 # --- words of a page to rows ----------------------------------------------
 
-def marked_words(text: Column, table_no: Column) -> Column:
-    """Words of a page with region names joined and the table title marked."""
+def marked_text(text: Column, table_no: Column) -> Column:
+    """Words of a page with region names joined and the table title marked, one blank on either
+    side of each."""
     marker = F.concat(F.lit("_TABLA"), table_no.cast("string"), F.lit("_"))
     title = F.concat(F.lit("Tabla "), table_no.cast("string"), F.lit("."))
     joined = F.replace(replace_literals(text, d.REGION_PHRASES), title, marker)
-    return F.split(F.trim(F.regexp_replace(joined, d.PAGE_NOISE, "")), " +")
+    clean = F.trim(F.regexp_replace(joined, f"{d.PAGE_NOISE}+", ""))
+    return F.concat(F.lit(" "), F.regexp_replace(clean, " {2,}", " "), F.lit(" "))
+
+
+def text_from(text: Column, word: Column) -> Column:
+    """What :func:`from_word` gives, of words with a blank on either side; NULL without it."""
+    return bind(text, lambda t: bind(
+        F.position(F.concat(F.lit(" "), word, F.lit(" ")), t),
+        lambda p: F.when(p > 0, F.substr(t, p)),
+    ))
 
 
 def from_word(words: Column, word: Column) -> Column:
@@ -187,22 +230,25 @@ def region_rows(table_pages: DataFrame) -> DataFrame:
 
     A page without any gives one row whose cells are NULL.
     """
-    regions = F.array(*[F.lit(r) for r in REGION_WORDS])
     number = F.col("table_no").cast("string")
-    words = from_word(
-        from_word(
-            marked_words(F.col("text"), F.col("table_no")),
+    text = text_from(
+        text_from(
+            marked_text(F.col("text"), F.col("table_no")),
             F.concat(F.lit("_TABLA"), number, F.lit("_")),
         ),
         F.lit(d.joined(d.REGIONS[0])),
     )
-    cells = segment(
-        words,
-        lambda word: F.array_contains(regions, word),
-        lambda word: word.rlike(d.WORD_START) & ~F.array_contains(regions, word),
-    )
+
+    def rows(pieces: Column) -> Column:
+        # every word that starts like one opens a row, the first that is no region ends the table
+        known = F.transform(pieces, lambda p: F.substring_index(p, " ", 1).isin(*REGION_WORDS))
+        return bind(F.array_position(known, False).cast("int"), lambda end: F.slice(
+            pieces, F.lit(1), F.when(end > 0, end - 1).otherwise(F.size(pieces))))
+
+    found = bind(F.split(F.trim(text), f" (?={d.WORD_START.removeprefix('^')})"), rows)
     kept = [c for c in table_pages.columns if c != "text"]
-    return table_pages.select(*kept, F.posexplode_outer(cells).alias("row_no", "cells"))
+    return table_pages.select(*kept, F.posexplode_outer(found).alias("row_no", "_piece")).select(
+        *kept, "row_no", F.split("_piece", " ").alias("cells"))
 
 
 def with_numbers(rows: DataFrame) -> DataFrame:
@@ -300,7 +346,9 @@ def read_hospital_cases(pages: DataFrame) -> DataFrame:
     """Hospitalised cases per region; short rows lack the newest columns."""
     found = pages_of_named_table(normalised(pages), "hospital_cases").select(
         *TABLE_PAGE,
-        F.contains(F.regexp_replace("text", d.PAGE_NOISE, ""), F.lit("IA")).alias("_ia"),
+        F.when(F.contains("text", F.lit("IA")), True).otherwise(
+            F.contains(F.regexp_replace("text", f"{d.PAGE_NOISE}+", ""), F.lit("IA"))
+        ).alias("_ia"),
     )
     whole = Window.partitionBy("report_id")
     rows = alternate(region_rows(found)).withColumn(
@@ -319,67 +367,66 @@ def read_hospital_cases(pages: DataFrame) -> DataFrame:
     )
 
 
-def outbreak_words(first: Column, second: Column) -> Column:
-    """Words of the two-page outbreak table, labels joined to one word each."""
+def outbreak_entries(first: Column, second: Column) -> Column:
+    """Entries of the two-page outbreak table: arrays of a label, joined to one word, and cells."""
     text = F.concat(
         after_last(first, d.OUTBREAK_HEADER), F.lit(" "), after_last(second, d.OUTBREAK_HEADER)
     )
-    words = F.split(F.trim(replace_patterns(text, d.OUTBREAK_REPAIRS)), r"\s+")
-
-    def mark_scope(t: Column) -> Column:
-        places = F.filter(
-            F.sequence(F.lit(1), F.size(t)), lambda i: F.element_at(t, i) == "Otros"
-        )
-        return bind(at(places, -2), lambda p: F.transform(
-            t, lambda word, i: F.when(i + 1 == p, F.lit("Otro")).otherwise(word)
-        ))
-
-    return bind(words, mark_scope)
+    words = F.concat(F.lit(" "), F.trim(replace_patterns(text, d.OUTBREAK_REPAIRS)))
+    # every word with a letter is a label; what stands before the first belongs to none
+    pieces = F.split(words, r"\s+(?=[^\s\p{L}]*\p{L})")
+    return bind(pieces, lambda t: F.transform(
+        F.slice(t, F.lit(2), F.size(t)), lambda piece: F.split(piece, r"\s+")))
 
 
-def outbreak_rows(words: Column) -> Column:
+def outbreak_rows(entries: Column) -> Column:
     """Array of (scope, label, cells); NULL if a label precedes every scope."""
-    scopes = F.array(*[F.lit(s) for s in d.OUTBREAK_SCOPES])
     centre, labour = "Centro_sanitario", "Laboral"
 
     def last_before(places: Column, limit: Column) -> Column:
         return F.array_max(F.filter(places, lambda g: g <= limit))
 
-    def rows(t: Column) -> Column:
-        def word(i: Column) -> Column:
-            return F.element_at(t, i.cast("int"))
+    def labels(t: Column) -> Column:
+        """The labels; the last but one "Otros" is the scope."""
+        plain = F.transform(t, lambda words: F.get(words, F.lit(0)))
+        return bind(plain, lambda names: bind(
+            at(F.filter(F.sequence(F.lit(1), F.size(names)),
+                        lambda i: F.element_at(names, i) == "Otros"), -2),
+            lambda p: F.transform(names, lambda name, k: F.when(
+                k + 1 == p, F.lit("Otro")).otherwise(name)),
+        ))
 
-        places = F.sequence(F.lit(1), F.size(t))
-        labels = F.filter(places, lambda i: word(i).rlike(r"\p{L}"))
-        marked = F.filter(places, lambda i: F.array_contains(scopes, word(i)))
+    def rows(t: Column, names: Column) -> Column:
+        def label(i: Column) -> Column:
+            return F.element_at(names, i.cast("int"))
 
-        def genuine(all_marked: Column) -> Column:
+        def genuine(marked: Column) -> Column:
             # A health centre listed under the labour scope is no scope of its own.
-            others = F.filter(all_marked, lambda i: word(i) != centre)
-            return F.filter(all_marked, lambda i: (word(i) != centre) | F.coalesce(
-                word(last_before(others, i)) != labour, F.lit(True)
+            others = F.filter(marked, lambda i: label(i) != centre)
+            return F.filter(marked, lambda i: (label(i) != centre) | F.coalesce(
+                label(last_before(others, i)) != labour, F.lit(True)
             ))
 
-        def entries(keys: Column, heads: Column) -> Column:
-            every = F.transform(keys, lambda p, k: F.struct(
-                word(last_before(heads, p)).alias("scope"),
-                word(p).alias("label"),
-                F.slice(t, p + 1, F.coalesce(F.get(keys, k + 1), F.size(t) + 1) - p - 1)
-                .alias("cells"),
-                (F.array_contains(scopes, word(p)) & ~F.array_contains(heads, p))
+        def listed(heads: Column) -> Column:
+            every = F.transform(t, lambda words, k: F.struct(
+                label(last_before(heads, k + 1)).alias("scope"),
+                label(k + 1).alias("label"),
+                F.slice(words, F.lit(2), F.size(words)).alias("cells"),
+                (label(k + 1).isin(*d.OUTBREAK_SCOPES) & ~F.array_contains(heads, k + 1))
                 .alias("skipped"),
             ))
             kept = F.filter(
                 every,
                 lambda e: ~e["skipped"] & F.size(e["cells"]).isin(6, 10),
             )
-            return F.when(F.get(keys, F.lit(0)) == F.get(heads, F.lit(0)), kept)
+            return F.when(F.get(heads, F.lit(0)) == 1, kept)
 
-        return bind(labels, lambda keys: bind(marked, lambda found: bind(
-            genuine(found), lambda heads: entries(keys, heads)
-        )))
+        marked = F.filter(F.sequence(F.lit(1), F.size(names)),
+                          lambda i: label(i).isin(*d.OUTBREAK_SCOPES))
+        return bind(marked, lambda found: bind(genuine(found), listed))
 
-    return bind(words, rows)
+    return bind(entries, lambda t: F.when(
+        F.size(t) > 0, bind(labels(t), lambda names: rows(t, names))))
 
 
 def outbreaks(pages: DataFrame) -> DataFrame:
@@ -398,7 +445,7 @@ def read_outbreaks(pages: DataFrame) -> DataFrame:
     )
     rows = with_numbers(both.select(
         "report_id", _day_before(), F.col("_second").isNull().alias("_alone"),
-        F.inline_outer(outbreak_rows(outbreak_words(F.col("_first"), F.col("_second")))),
+        F.inline_outer(outbreak_rows(outbreak_entries(F.col("_first"), F.col("_second")))),
     ))
     scope = F.col("scope")
     label = F.when(scope == F.col("label"), F.lit("Total")).otherwise(F.col("label"))
@@ -430,7 +477,7 @@ def read_clinic_description(
     if numbers:
         pages = pages.filter(F.col("report_id").between(*numbers))
     found = pages_of_table(normalised(pages), 2)
-    text = F.lower(F.regexp_replace("text", d.SYMPTOM_NOISE, ""))
+    text = F.lower(F.regexp_replace("text", f"{d.SYMPTOM_NOISE}+", ""))
     text = replace_words(replace_literals(text, d.ILLNESS_PHRASES), d.SYMPTOM_PHRASES)
     pages_words = found.select("report_id", "report_date", F.split(text, " +").alias("_w"))
     return read_symptoms(pages_words)

@@ -46,7 +46,9 @@ def _lines(spark, sf) -> DataFrame:
 
 
 def _int(name: str):
-    return F.translate(F.format_number(name, 0), ",", ".")
+    # formatting costs far more than a cast, which is enough below a thousand
+    return F.when(F.col(name).between(0, 999), F.col(name).cast("string")).otherwise(
+        F.translate(F.format_number(name, 0), ",", "."))
 
 
 def _tenths(whole: str, tenth: str):
@@ -69,7 +71,7 @@ def _body(lines: DataFrame, row, part=None) -> DataFrame:
     """The rows of each report in slot order; one column per part."""
     def rows(here):
         entry = F.when(here, F.struct("slot", row.alias("r")))
-        return F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["r"]))
+        return F.concat_ws(" ", F.sort_array(F.collect_list(entry))["r"])
 
     if part is None:
         return lines.groupBy("report_id").agg(rows(F.lit(True)).alias("body"))

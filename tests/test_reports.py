@@ -167,3 +167,49 @@ def test_a_table_number_beyond_int_stops_nothing(spark):
         [(1, 1, "Tabla 99999999999. Too large"), (1, 2, "Tabla 2. Fine")],
         "report_id long, page_no int, text string")
     assert [r.table_no for r in reports.numbered_tables(pages).collect()] == [2]
+
+
+def titled(spark):
+    rows = [
+        (1, 0, "Tabla 2. Antes. Tabla 3. Situación capacidad asistencial"),
+        (1, 1, "Tabla 4. Otra."), (1, 1, "Tabla 4. Otra."), (1, 2, "sin título"),
+        (2, 5, "Tabla 3. Situación capacidad asistencial Tabla 4. Otra."),
+        (2, 6, "Tabla 3, repetida"), (2, 7, "Tabla 4. repetida"),
+        (3, 1, "Tabla 1. Situación capacidad asistencial"),
+        (3, 1, "Tabla 2. Situación capacidad asistencial"), (3, 1, None), (3, 2, None),
+        (4, 0, "Tabla 2147483647. Otra. Tabla 99999999999. Situación capacidad asistencial"),
+        (5, None, "Tabla 1. Situación capacidad asistencial"), (6, 0, "sin título"),
+        (None, 0, "Tabla 1. Situación capacidad asistencial"),
+    ]
+    return spark.createDataFrame(rows, "report_id long, page_no int, text string")
+
+
+@pytest.mark.parametrize("following", [0, 1])
+def test_pages_of_a_table_are_those_that_located_table_names(spark, following):
+    df = titled(spark)
+    target = reports.located_table(df, reports.d.TABLE_TITLES["hospital_pressure"])
+    expected = [
+        (t["report_id"], t["page_no"] + part, p["text"], t["table_no"], t["position"], part)
+        for t in target.collect() for part in range(following + 1) for p in df.collect()
+        if (p["report_id"], p["page_no"]) == (t["report_id"], (t["page_no"] or 0) + part)
+        and None not in (t["report_id"], t["page_no"]) and (following or "Tabla " in (p["text"] or ""))
+    ]
+    got = [tuple(r) for r in
+           reports.pages_of_named_table(df, "hospital_pressure", following).collect()]
+    assert len(got) > 3
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_pages_are_read_once(spark, tmp_path):
+    pages(spark, TITLE + ROWS_IC).write.parquet(f"{tmp_path}/pages")
+    df = spark.read.parquet(f"{tmp_path}/pages")
+    for read in (reports.hospital_pressure, reports.hospital_cases, reports.outbreaks):
+        plan = read(df)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_rows_end_at_the_first_word_that_is_no_region(spark):
+    text = TITLE + "(datos) Aragón 1 1 1 1 1 Andalucía 1 2 3,5 % 4 5  Aragón! 6 7 8,5 9 10 " \
+        "Nota Asturias 1 2 3,5 4 5"
+    assert {k: v[1] for k, v in pressure(pages(spark, text)).items()} == {
+        "Andalucía": 1, "Aragón": 6}
