@@ -138,11 +138,11 @@ def pages_of_named_table(pages: DataFrame, name: str, following: int = 0) -> Dat
     read = pages.filter("report_id IS NOT NULL").select(
         "report_id", "page_no", *others, whole_number(named, "int").alias("_named"),
         F.transform(numbers, lambda n: whole_number(n, "int").cast("long")).alias("_numbers"))
-    first = read.withColumn(
-        "_first", F.min(F.when(F.col("_named").isNotNull(), place)).over(report))
-    found = first.withColumn(
-        "_wanted", F.collect_set(F.when(place == F.col("_first"), F.col("_named"))).over(report)
-    ).select("report_id", "page_no", *others, "_numbers", F.explode("_wanted").alias("table_no"))
+    titled = F.when(F.col("_named").isNotNull() & place.isNotNull(),
+                    F.struct(place.alias("page"), F.col("_named").alias("number")))
+    found = read.withColumn("_titled", F.collect_set(titled).over(report)).select(
+        "report_id", "page_no", *others, "_numbers",
+        F.explode(on_first_page(F.col("_titled"))).alias("table_no"))
     last = found.select("*", last_page(0).alias("_last"), last_page(1).alias("_next"),
                         last_page(-1).alias("_previous"))
     position = F.when(F.col("_next") == F.col("_last"), -1).when(
@@ -153,6 +153,12 @@ def pages_of_named_table(pages: DataFrame, name: str, following: int = 0) -> Dat
         part.cast("int").alias("part"))
 
 
+def on_first_page(titled: Column) -> Column:
+    """The table numbers that the least page names, of (page, number)."""
+    return bind(F.array_min(titled)["page"], lambda first: F.transform(
+        F.filter(titled, lambda t: t["page"] == first), lambda t: t["number"]))
+
+
 def pages_where(pages: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
     """The pages with such a text. A plain filter would be pushed below the step that made the
     text, which would then be made twice."""
@@ -181,7 +187,9 @@ def marked_text(text: Column, table_no: Column) -> Column:
     title = F.concat(F.lit("Tabla "), table_no.cast("string"), F.lit("."))
     joined = F.replace(replace_literals(text, d.REGION_PHRASES), title, marker)
     clean = F.trim(F.regexp_replace(joined, f"{d.PAGE_NOISE}+", ""))
-    return F.concat(F.lit(" "), F.regexp_replace(clean, " {2,}", " "), F.lit(" "))
+    single = bind(clean, lambda t: F.when(
+        F.contains(t, F.lit("  ")), F.regexp_replace(t, " {2,}", " ")).otherwise(t))
+    return F.concat(F.lit(" "), single, F.lit(" "))
 
 
 def text_from(text: Column, word: Column) -> Column:
@@ -251,16 +259,25 @@ def region_rows(table_pages: DataFrame) -> DataFrame:
         *kept, "row_no", F.split("_piece", " ").alias("cells"))
 
 
-def with_numbers(rows: DataFrame) -> DataFrame:
-    """Parse every cell once, as a count and as a share.
+def with_numbers(rows: DataFrame, counts: dict[str, Column], shares: dict[str, Column]
+                 ) -> tuple[DataFrame, Callable[[str], Column], Callable[[str], Column]]:
+    """Parse the named cells, as counts and as shares; the rows, and a column for each name.
 
-    Parsing inside an array function keeps the generated row code small enough
-    for the JVM to compile it; a parser inlined per column is not.
+    A row has cells that no result shows, so the wanted ones are picked first. Parsing inside
+    an array function keeps the generated row code small enough for the JVM to compile it; a
+    parser inlined per column is not.
     """
-    return rows.withColumns({
-        "_counts": F.transform("cells", lambda c: locale_long(c)),
-        "_shares": F.transform("cells", lambda c: locale_double(c)),
-    })
+    def reader(cells: dict[str, Column], column: str) -> Callable[[str], Column]:
+        places = {name: place for place, name in enumerate(cells)}
+        return lambda name: F.get(column, F.lit(places[name]))
+
+    parsed = {
+        "_counts": F.transform(F.array(*counts.values()), lambda c: locale_long(c)),
+        "_shares": F.transform(F.array(*shares.values()), lambda c: locale_double(c)),
+    }
+    wanted = [c for c, cells in (("_counts", counts), ("_shares", shares)) if cells]
+    return (rows.withColumns({c: parsed[c] for c in wanted}),
+            reader(counts, "_counts"), reader(shares, "_shares"))
 
 
 def checked(rows: DataFrame, *columns: Column, label: Column, first: int = 2,
@@ -268,7 +285,7 @@ def checked(rows: DataFrame, *columns: Column, label: Column, first: int = 2,
     """The columns with ``_row`` (what the row is about), ``_unread`` (cells from place
     ``first`` on that are neither number, share nor range) and ``_reason`` (NULL for a row)."""
     def unread(cell: Column, place: Column) -> Column:
-        known = F.coalesce(F.get("_counts", place), F.get("_shares", place)).isNotNull()
+        known = locale_long(cell).isNotNull() | locale_double(cell).isNotNull()
         return (place >= first - 1) & ~known & (cell != "") & numeric_range(cell)["low"].isNull()
 
     none = F.when(F.col("cells").isNull(), F.lit(NO_ROW))
@@ -297,12 +314,8 @@ def _region() -> Column:
     return recoded(at(F.col("cells"), 1), REGION_WORDS).alias("autonomous_region")
 
 
-def _count(place: int) -> Column:
-    return at(F.col("_counts"), place)
-
-
-def _share(place: int) -> Column:
-    return at(F.col("_shares"), place)
+def _cell(place: int) -> Column:
+    return at(F.col("cells"), place)
 
 
 def _day_before() -> Column:
@@ -322,17 +335,25 @@ def read_hospital_pressure(pages: DataFrame) -> DataFrame:
         "_ic": F.contains("text", F.lit(d.IC_BEDS_PHRASE)),
         "_rates": F.contains("text", F.lit(d.PER_INHABITANTS_PHRASE)),
     }).select(*TABLE_PAGE, "_ic", "_rates")
-    rows = with_numbers(alternate(region_rows(found)))
     ic, both = F.col("_ic"), F.col("_ic") & F.col("_rates")
+    rows, count, share = with_numbers(
+        alternate(region_rows(found)),
+        counts={
+            "hospitalized_patients": _cell(2),
+            "ic_patients": F.when(both, _cell(-5)).otherwise(_cell(-4)),
+            "admissions": _cell(-2), "discharges": _cell(-1),
+        },
+        shares={
+            "beds_percentage":
+                F.when(both, _cell(-6)).when(ic, _cell(-5)).otherwise(_cell(-3)),
+            "ic_beds_percentage": F.when(ic, _cell(-3)),
+        },
+    )
     return checked(
         rows, F.col("report_id"), _day_before(), _region(),
-        _count(2).alias("hospitalized_patients"),
-        F.when(both, _share(-6)).when(ic, _share(-5)).otherwise(_share(-3))
-        .alias("beds_percentage"),
-        F.when(both, _count(-5)).otherwise(_count(-4)).alias("ic_patients"),
-        F.when(ic, _share(-3)).alias("ic_beds_percentage"),
-        _count(-2).alias("admissions"),
-        _count(-1).alias("discharges"),
+        *[read(name).alias(name) for read, name in (
+            (count, "hospitalized_patients"), (share, "beds_percentage"), (count, "ic_patients"),
+            (share, "ic_beds_percentage"), (count, "admissions"), (count, "discharges"))],
         label=_region(),
     )
 
@@ -354,15 +375,16 @@ def read_hospital_cases(pages: DataFrame) -> DataFrame:
     rows = alternate(region_rows(found)).withColumn(
         "_missing", F.max(F.size("cells")).over(whole) - F.size("cells")
     ).filter(F.col("cells").isNull() | (F.col("_missing") != 2))
-    rows = with_numbers(rows)
     ia = F.col("_ia")
+    rows, count, _ = with_numbers(rows, counts={
+        "total_hospitalized_cases": F.when(ia, _cell(4)).otherwise(_cell(2)),
+        "total_ic_cases":
+            F.when(F.col("_missing") != 1, F.when(ia, _cell(5)).otherwise(_cell(4))),
+    }, shares={})
     return checked(
         rows, F.col("report_id"), _day_before(), _region(),
-        F.struct(
-            F.when(ia, _count(4)).otherwise(_count(2)).alias("total_hospitalized_cases"),
-            F.when(F.col("_missing") != 1, F.when(ia, _count(5)).otherwise(_count(4)))
-            .alias("total_ic_cases"),
-        ).alias("hospitalizations"),
+        F.struct(*[count(name).alias(name) for name in (
+            "total_hospitalized_cases", "total_ic_cases")]).alias("hospitalizations"),
         label=_region(),
     )
 
@@ -443,14 +465,16 @@ def read_outbreaks(pages: DataFrame) -> DataFrame:
         F.max(F.when(F.col("part") == 0, F.col("text"))).alias("_first"),
         F.max(F.when(F.col("part") == 1, F.col("text"))).alias("_second"),
     )
-    rows = with_numbers(both.select(
+    rows, count, _ = with_numbers(both.select(
         "report_id", _day_before(), F.col("_second").isNull().alias("_alone"),
         F.inline_outer(outbreak_rows(outbreak_entries(F.col("_first"), F.col("_second")))),
-    ))
+    ), counts={
+        "number": _cell(1),
+        "cases": F.when(F.size("cells") == 6, _cell(2)).otherwise(_cell(3)),
+    }, shares={})
     scope = F.col("scope")
     label = F.when(scope == F.col("label"), F.lit("Total")).otherwise(F.col("label"))
-    number = _count(1)
-    infected = F.when(F.size("cells") == 6, _count(2)).otherwise(_count(3))
+    number, infected = count("number"), count("cases")
     return checked(
         rows, F.col("report_id"), F.col("date"), spaced(scope).alias("scope"),
         F.concat(spaced(scope), F.lit(" - "), spaced(label)).alias("subscope"),
@@ -508,35 +532,38 @@ def read_symptoms(words: DataFrame) -> DataFrame:
         F.array_position(w, F.lit("mujeres")).alias("_women"),
     )
     both = (F.col("_men") > 0) & (F.col("_women") > 0)
-    listed = F.when(both, F.array_intersect(codes, F.col("_t")))
-    rows = rows.withColumn("symptom", F.explode_outer(listed))
-    start = (F.array_position("_t", F.col("symptom")) + F.col("_samples")).cast("int")
-    rows = rows.withColumn("_s", start).select(
-        "report_id", F.col("report_date").alias("date"), "symptom",
+
+    def entries(t: Column) -> Column:
+        # cells are cut out here, as the words of the page would else be copied for each symptom
+        return F.transform(F.when(both, F.array_intersect(codes, t)), lambda name: F.struct(
+            name.alias("symptom"),
+            F.slice(t, (F.array_position(t, name) + F.col("_samples")).cast("int") + 1, F.lit(6))
+            .alias("cells"),
+        ))
+
+    rows = rows.select(
+        "report_id", F.col("report_date").alias("date"),
         (F.col("_women") < F.col("_men")).alias("_women_first"),
-        F.slice("_t", F.col("_s") + 1, F.lit(6)).alias("cells"),
+        F.inline_outer(bind(F.col("_t"), entries)),
     )
-    parsed = with_numbers(rows)
-
-    def group(name: str, number: Column, percent: Column) -> Column:
+    first = F.col("_women_first")
+    places = {"total": (_cell(1), _cell(2)), **{
+        who: tuple(F.when(here, _cell(place)).otherwise(_cell(place + 2)) for place in (3, 4))
+        for who, here in (("women", first), ("men", ~first))}}
+    parsed, count, share = with_numbers(
+        rows, counts={who: number for who, (number, _) in places.items()},
+        shares={who: percent for who, (_, percent) in places.items()})
+
+    def group(name: str) -> Column:
+        number, percent = count(name), share(name)
         return F.struct(
             sample_size(percent, number).alias("samples"),
             number.alias("number"), percent.alias("percentage"),
         ).alias(name)
 
-    def either(first: int, second: int) -> tuple[Column, Column]:
-        return tuple(
-            F.when(F.col("_women_first"), cell(first)).otherwise(cell(second))
-            for cell in (_count, lambda place: _share(place + 1))
-        )
-
     return checked(
         parsed, F.col("report_id"), F.col("date"), F.col("symptom"),
-        F.struct(
-            group("total", _count(1), _share(2)),
-            group("women", *either(3, 5)),
-            group("men", *either(5, 3)),
-        ).alias("patients"),
+        F.struct(*map(group, ("total", "women", "men"))).alias("patients"),
         label=F.col("symptom"), first=1,
         reason=F.when(F.col("symptom").isNull(), F.lit(NO_ROW)),
     )
@@ -562,22 +589,24 @@ def read_transmission_indicators(
     found = pages_of_table(normalised(pages), 6).withColumn(
         "text", replace_literals(F.col("text"), TITLE_6)
     )
-    rows = with_numbers(region_rows(found))
+    rows, count, share = with_numbers(
+        region_rows(found),
+        counts={"unknown": _cell(-4), "contacts": _cell(-2), "days": _cell(6)},
+        shares={"unknown": _cell(-3), "asymptomatic": _cell(3)},
+    )
 
-    def spread(median: int, quartiles: int) -> Column:
+    def spread(median: str, quartiles: int) -> Column:
         return F.struct(
-            _count(median).alias("median"),
-            numeric_range(at(F.col("cells"), quartiles)).alias("iq"),
-        )
+            count(median).alias("median"), numeric_range(_cell(quartiles)).alias("iq"))
 
     return checked(
         rows, F.col("report_id"), F.col("report_date").alias("date"), _region(),
         F.struct(
-            F.struct(_count(-4).alias("total"), _share(-3).alias("percentage"))
+            F.struct(count("unknown").alias("total"), share("unknown").alias("percentage"))
             .alias("cases_unknown_contact"),
-            spread(-2, -1).alias("identified_contacts_per_case"),
-            spread(6, 7).alias("days_until_diagnostic"),
-            complement(_share(3)).alias("asymptomatic_percentage"),
+            spread("contacts", -1).alias("identified_contacts_per_case"),
+            spread("days", 7).alias("days_until_diagnostic"),
+            complement(share("asymptomatic")).alias("asymptomatic_percentage"),
         ).alias("transmission_indicators"),
         label=_region(),
     )

@@ -208,6 +208,28 @@ def test_pages_are_read_once(spark, tmp_path):
         assert plan.count("FileScan") == 1 and "Join" not in plan
 
 
+def test_a_title_is_found_by_one_window_and_wanted_cells_are_parsed(spark):
+    df = pages(spark, TITLE + ROWS_IC)
+    windows = {reports.hospital_pressure: 2, reports.hospital_cases: 3}
+    for read, number in windows.items():
+        plan = read(df)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Window [") == number
+    for read, numbers in ((reports.hospital_pressure, ["_counts", "_shares"]),
+                          (reports.hospital_cases, ["_counts"])):
+        plan = read(df)._jdf.queryExecution().optimizedPlan().toString()
+        assert [c for c in ("_counts", "_shares") if f" AS {c}#" in plan] == numbers
+        assert "transform(cells#" not in plan
+
+
+def test_words_of_a_page_are_not_copied_for_each_symptom(spark):
+    text = "Tabla 2. Características Total Mujeres Hombres Síntomas tos 1 2 3 4 5 6 Enfermedad de " \
+        "base y factores de riesgo"
+    plan = reports.clinic_description(pages(spark, text), None)
+    written = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert written.count("Generate ") == 2  # the titled page, then the rows
+    assert "Generate explode(array_intersect" not in written and "Generate inline(" in written
+
+
 def test_rows_end_at_the_first_word_that_is_no_region(spark):
     text = TITLE + "(datos) Aragón 1 1 1 1 1 Andalucía 1 2 3,5 % 4 5  Aragón! 6 7 8,5 9 10 " \
         "Nota Asturias 1 2 3,5 4 5"
