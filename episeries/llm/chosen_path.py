@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episeries.llm.common import small
+from episeries.llm.common import perhaps_in, small
 from episeries.llm.simhash import components
 from episeries.llm.tiles import starts_of, whole_groups
 from episeries.sources.storage import cut_lineage, stored
@@ -387,9 +387,10 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, recall: float = RECALL)
 
     def sets_of(some: DataFrame) -> DataFrame:
         # one row of each class is read again
-        wanted = small(cut_lineage(classes.join(some, "cls", "left_semi").select("one.*")))
-        same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["at"] == wanted["at"])
-        found = texts.join(wanted, same, "left_semi").select("text").mapInArrow(
+        wanted = cut_lineage(classes.join(some, "cls", "left_semi").select("one.*"))
+        near, wanted = perhaps_in(texts, wanted, ["doc_id", "at"]), small(wanted)
+        same = near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["at"] == wanted["at"])
+        found = near.join(wanted, same, "left_semi").select("text").mapInArrow(
             full_sets, "cls binary, ids array<long>")
         return stored(found.groupBy("cls").agg(F.first("ids").alias("ids")))
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from episeries.llm import chosen_path, spelling_variants, spill_runs, token_alignment
+from episeries.llm.common import perhaps_in
 
 A_PATH, B_PATH = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 DOCS = "doc_id long, text string, word string, tile int, bucket int"
@@ -240,3 +241,14 @@ def test_trees_grow_with_the_recall():
             alive += level > 0
         missed += not alive
     assert missed / pairs <= 0.1 + 0.03
+
+
+def test_only_rows_that_may_be_wanted_are_kept(spark):
+    rows = spark.range(40_000).selectExpr(
+        "IF(id % 100 = 3, NULL, id) AS doc_id", "xxhash64(id) AS at")
+    wanted = rows.filter("at % 10 = 0").localCheckpoint()
+    kept = perhaps_in(rows, wanted, ["doc_id", "at"])
+    number = wanted.count()
+    assert kept.join(wanted, "at", "left_semi").count() == number
+    assert kept.count() - number < (40_000 - number) / 12
+    assert perhaps_in(rows, wanted.limit(0), ["doc_id", "at"]).count() == 0
