@@ -14,7 +14,8 @@ just fail to be alike costs as many rows as it has members, not pairs.
 Groups of very many near copies would not shrink by branching. Their members are compared with a
 few pivots first, and nodes whose members are all connected by confirmed links are done: a
 further link inside says nothing new about components. What is still crowded at the last level
-is cut into blocks, and every pair of blocks is compared.
+is cut into blocks, and every pair of blocks is compared but for those within the component that
+most of the node belongs to.
 
 A token comparison drops a pair of the wanted similarity only if the estimate is four
 deviations too low. ``components`` therefore joins exactly the documents that confirmed links
@@ -49,6 +50,8 @@ PERCENT, RECALL = 85, 0.999
 TOKENS, FIRST_LEVELS, LEVELS = 128, 2, 4
 #: Members of a node that are compared exhaustively; pivots of a larger one; rows of a tile.
 LEAF, PIVOTS, TILE = 128, 4, 96
+#: Components are found again once there is a new link for so many classes that share nodes.
+RELABEL = 8
 #: Shingles hashed at a time, and words whose hash a task remembers.
 STEP, KNOWN_WORDS = 4_096, 500_000
 
@@ -160,7 +163,7 @@ def mixed_nodes(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         labelled = nodes.withColumn("label", F.col("cls"))
     else:
-        labelled = nodes.join(labels, "cls", "left").select(
+        labelled = nodes.join(small(labels), "cls", "left").select(
             "node", "cls", F.coalesce("label", "cls").alias("label"))
     sizes = labelled.groupBy("node").agg(
         F.count("*").alias("members"), F.min("label").alias("a"), F.max("label").alias("b")
@@ -168,11 +171,30 @@ def mixed_nodes(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
     return labelled.join(sizes, "node")
 
 
+def whole_tiles(nodes: DataFrame) -> DataFrame:
+    """Every member of small nodes with its node as the tile that compares it."""
+    return nodes.select(F.xxhash64("node").alias("tile"), "cls", "label", F.lit(0).alias("block"),
+                        F.lit(False).alias("two"))
+
+
 def tiles(nodes: DataFrame) -> DataFrame:
-    """Every member in each tile that compares it; a node beyond ``LEAF`` is cut into blocks."""
-    blocks = F.ceil(F.col("members") / LEAF).cast("int")
-    cut = nodes.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-    met = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    """Every member of crowded nodes in each tile that compares it.
+
+    Members of a node's most frequent label and all others are cut into blocks each. Two blocks
+    meet unless both are of that label, so only the others meet many blocks.
+    """
+    labels = nodes.groupBy("node", "label").agg(F.count("*").alias("own"))
+    main = labels.groupBy("node").agg(F.max(F.struct("own", "label")).alias("main"))
+    is_main = F.col("label") == F.col("main.label")
+    first = F.ceil(F.col("main.own") / LEAF).cast("int")
+    rest = F.ceil((F.col("members") - F.col("main.own")) / LEAF).cast("int")
+    cut = nodes.join(main, "node").select(
+        "node", "cls", "label", is_main.alias("is_main"), first.alias("first"), rest.alias("rest"))
+    place = F.xxhash64("cls")
+    cut = cut.withColumn("block", F.when(F.col("is_main"), F.pmod(place, F.col("first"))).otherwise(
+        F.col("first") + F.pmod(place, F.col("rest"))).cast("int"))
+    met = F.explode(F.sequence(F.when(F.col("is_main"), F.col("first")).otherwise(0),
+                               F.col("first") + F.col("rest") - 1)).alias("other")
     low, high = F.least("block", "other"), F.greatest("block", "other")
     return cut.select("node", "cls", "label", "block", met).select(
         F.xxhash64("node", low, high).alias("tile"), "cls", "label", "block",
@@ -289,16 +311,16 @@ def links_in_groups(percent: int) -> Callable:
     return run
 
 
-def candidate_groups(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(tile, cls, label) of the members of the nodes that may link, each group once."""
-    rows = tiles(nodes).join(classes.select("cls", "n", "sig"), "cls")
+def candidate_groups(met: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(tile, cls, label) of the members of the tiles that may link, each group once."""
+    rows = met.join(classes.select("cls", "n", "sig"), "cls")
     return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(
         groups_in_tiles(percent), "tile long, cls binary, label binary").distinct()
 
 
 def group_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # in the order of names, so that overlapping groups choose the same links
-    rows = groups.join(sets, "cls")
+    rows = small(groups).join(sets, "cls")
     return rows.repartition("tile").sortWithinPartitions("tile", "cls").mapInArrow(
         links_in_groups(percent), "u binary, v binary")
 
@@ -321,7 +343,7 @@ def with_pivots(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the full sets link."""
+    """The materialised pairs that the full sets link."""
     both = small(pairs).join(
         sets.select(F.col("cls").alias("u"), F.col("ids").alias("left")), "u").join(
         sets.select(F.col("cls").alias("v"), F.col("ids").alias("right")), "v")
@@ -347,29 +369,37 @@ def connected(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], per
                              F.explode(children(F.col("node"), percent)).alias("node"))
     nodes = nodes.select("node", "cls")
     sets = labels = links = None
+    pending = 0
     for level in range(LEVELS + 1):
         mixed = stored(mixed_nodes(nodes, labels))
         # the tokens of whoever shares a node go on, all others' stay
         classes = stored(classes.join(mixed.select("cls").distinct(), "cls", "left_semi"))
-        leaves = mixed if level == LEVELS else mixed.filter(F.col("members") <= LEAF)
-        crowded = mixed.filter(F.col("members") > LEAF)
-        groups = stored(candidate_groups(leaves, classes, percent))
-        more = level < LEVELS and not crowded.isEmpty()
+        tokens = small(classes)
+        few, crowded = (mixed.filter(F.col("members") <= LEAF),
+                        mixed.filter(F.col("members") > LEAF))
+        beyond = not crowded.isEmpty()
+        more = level < LEVELS and beyond
+        met = whole_tiles(few).unionAll(tiles(crowded)) if beyond and not more else whole_tiles(few)
+        groups = stored(candidate_groups(met, tokens, percent))
         if sets is None:
             # whoever may be linked at this level, or be compared further down
             sets = sets_of(groups.select("cls").unionAll(crowded.select("cls")).distinct())
         found = group_links(groups, sets, percent)
         if more:
-            found = found.unionAll(confirmed(with_pivots(crowded, classes, percent), sets, percent))
+            pairs = stored(with_pivots(crowded, tokens, percent))
+            found = found.unionAll(confirmed(pairs, sets, percent))
         found = stored(found.distinct())
-        if labels is None or not found.isEmpty():
-            links = found if links is None else links.unionAll(found)
-            labels = stored(components(links).select(
-                F.col("node").alias("cls"), F.col("root").alias("label")))
+        links = found if links is None else links.unionAll(found)
+        pending += found.count()
+        # until many links are new the labels stay: finer ones only cost comparisons
+        if labels is None or pending * RELABEL > classes.count() or (pending and not more):
+            labels, pending = stored(components(links).select(
+                F.col("node").alias("cls"), F.col("root").alias("label"))), 0
+            if more:
+                crowded = mixed_nodes(crowded.select("node", "cls"), labels)
         if not more:
             break
-        nodes = mixed_nodes(crowded.select("node", "cls"), labels).join(
-            classes.select("cls", "sig"), "cls").select(
+        nodes = crowded.join(tokens.select("cls", "sig"), "cls").select(
             "cls", F.explode(children(F.col("node"), percent)).alias("node"))
     return labels
 

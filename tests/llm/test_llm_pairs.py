@@ -221,6 +221,36 @@ def test_near_groups_agree_with_brute_force(spark, monkeypatch, leaf):
     assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
 
 
+def test_crowded_node_compares_all_but_its_main_component(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "LEAF", 16)
+    label = {f"m{i}": "main" for i in range(600)} | {f"s{i}": "side" for i in range(30)} | {
+        f"o{i}": f"o{i}" for i in range(10)}
+    nodes = spark.createDataFrame([(7, c.encode(), x.encode(), len(label)) for c, x in label.items()],
+                                  "node long, cls binary, label binary, members long")
+    rows = chosen_path.tiles(nodes).collect()
+    # the 40 others meet every block, the main component only their three
+    assert len(rows) == 600 * 3 + 40 * (38 + 3)
+    held = {}
+    for row in rows:
+        held.setdefault(row.tile, []).append(row)
+    met = Counter(frozenset((bytes(a.cls), bytes(b.cls))) for members in held.values()
+                  for k, a in enumerate(members) for b in members[:k]
+                  if a.label != b.label and (not a.two or a.block != b.block))
+    names = [*label]
+    assert met == Counter(frozenset((a.encode(), b.encode())) for k, a in enumerate(names)
+                          for b in names[:k] if label[a] != label[b])
+
+
+@pytest.mark.parametrize("often", [1, 10_000])
+def test_near_groups_do_not_depend_on_when_components_are_found(spark, monkeypatch, often):
+    monkeypatch.setattr(chosen_path, "LEAF", 3)
+    monkeypatch.setattr(chosen_path, "RELABEL", often)
+    rows = [*enumerate(near_copies(3, 60, 50, 5) + near_copies(4, 5, 30, 2))]
+    got = chosen_path.near_groups(docs(spark, rows)).select(
+        "doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(tuple(r) for r in got) == sorted(groups_by_hand(rows))
+
+
 def test_near_groups_of_nothing(spark):
     assert chosen_path.near_groups(docs(spark, [])).count() == 0
     assert [tuple(r) for r in chosen_path.near_groups(docs(spark, [(4, None)])).collect()] == [
