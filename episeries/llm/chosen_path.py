@@ -159,15 +159,21 @@ def least_agreeing(percent: int) -> int:
 
 
 def mixed_nodes(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(node, cls, label, members) of the nodes that hold more than one component."""
+    """(node, cls, label, members, main) of the nodes that hold more than one component.
+
+    ``main`` is the most frequent label with its ``own`` number of members.
+    """
     if labels is None:
         labelled = nodes.withColumn("label", F.col("cls"))
+        parts = labelled.withColumn("own", F.lit(1).cast("long"))
     else:
         labelled = nodes.join(small(labels), "cls", "left").select(
             "node", "cls", F.coalesce("label", "cls").alias("label"))
-    sizes = labelled.groupBy("node").agg(
-        F.count("*").alias("members"), F.min("label").alias("a"), F.max("label").alias("b")
-    ).filter("a <> b").select("node", "members")
+        parts = labelled.groupBy("node", "label").agg(F.count("*").alias("own"))
+    sizes = parts.groupBy("node").agg(
+        F.sum("own").alias("members"), F.min("label").alias("a"), F.max("label").alias("b"),
+        F.max(F.struct("own", "label")).alias("main")
+    ).filter("a <> b").select("node", "members", "main")
     return labelled.join(sizes, "node")
 
 
@@ -183,12 +189,10 @@ def tiles(nodes: DataFrame) -> DataFrame:
     Members of a node's most frequent label and all others are cut into blocks each. Two blocks
     meet unless both are of that label, so only the others meet many blocks.
     """
-    labels = nodes.groupBy("node", "label").agg(F.count("*").alias("own"))
-    main = labels.groupBy("node").agg(F.max(F.struct("own", "label")).alias("main"))
     is_main = F.col("label") == F.col("main.label")
     first = F.ceil(F.col("main.own") / LEAF).cast("int")
     rest = F.ceil((F.col("members") - F.col("main.own")) / LEAF).cast("int")
-    cut = nodes.join(main, "node").select(
+    cut = nodes.select(
         "node", "cls", "label", is_main.alias("is_main"), first.alias("first"), rest.alias("rest"))
     place = F.xxhash64("cls")
     cut = cut.withColumn("block", F.when(F.col("is_main"), F.pmod(place, F.col("first"))).otherwise(
@@ -320,13 +324,13 @@ def candidate_groups(met: DataFrame, classes: DataFrame, percent: int) -> DataFr
 
 def group_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # in the order of names, so that overlapping groups choose the same links
-    rows = small(groups).join(sets, "cls")
+    rows = groups.join(sets, "cls")
     return rows.repartition("tile").sortWithinPartitions("tile", "cls").mapInArrow(
         links_in_groups(percent), "u binary, v binary")
 
 
 def with_pivots(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(u, v): each member of the nodes with the pivot that it agrees with most."""
+    """(cls, pivot): each member of the nodes with the pivot that it agrees with most."""
     drawn = Window.partitionBy("node").orderBy(F.xxhash64("node", "cls"), "cls")
     rows = nodes.join(classes.select("cls", "n", "sig"), "cls")
     pivots = rows.withColumn("rank", F.row_number().over(drawn)).filter(
@@ -339,17 +343,19 @@ def with_pivots(nodes: DataFrame, classes: DataFrame, percent: int) -> DataFrame
         "node", "cls", "p_cls", same.alias("same")).filter(F.col("same") >= least_agreeing(percent))
     return met.groupBy("node", "cls").agg(
         F.max(F.struct("same", "p_cls")).alias("best")
-    ).select(F.least("cls", "best.p_cls").alias("u"), F.greatest("cls", "best.p_cls").alias("v"))
+    ).select("cls", F.col("best.p_cls").alias("pivot"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The materialised pairs that the full sets link."""
-    both = small(pairs).join(
-        sets.select(F.col("cls").alias("u"), F.col("ids").alias("left")), "u").join(
-        sets.select(F.col("cls").alias("v"), F.col("ids").alias("right")), "v")
+    """(u, v): the materialised pairs that the full sets link."""
+    # few classes are pivots, so no other full set meets the members'
+    pivots = sets.join(small(pairs.select(F.col("pivot").alias("cls")).distinct()), "cls",
+                       "left_semi")
+    both = small(pairs).join(sets.withColumnRenamed("ids", "left"), "cls").join(
+        pivots.select(F.col("cls").alias("pivot"), F.col("ids").alias("right")), "pivot")
     shared = F.size(F.array_intersect("left", "right"))
-    counted = both.select("u", "v", shared.alias("i"),
-                          (F.size("left") + F.size("right")).alias("total"))
+    counted = both.select(F.least("cls", "pivot").alias("u"), F.greatest("cls", "pivot").alias("v"),
+                          shared.alias("i"), (F.size("left") + F.size("right")).alias("total"))
     return counted.filter(100 * F.col("i").cast("long")
                           >= percent * (F.col("total") - F.col("i")).cast("long")).select("u", "v")
 
@@ -374,7 +380,7 @@ def connected(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], per
         mixed = stored(mixed_nodes(nodes, labels))
         # the tokens of whoever shares a node go on, all others' stay
         classes = stored(classes.join(mixed.select("cls").distinct(), "cls", "left_semi"))
-        tokens = small(classes)
+        tokens = small(classes) if level else classes
         few, crowded = (mixed.filter(F.col("members") <= LEAF),
                         mixed.filter(F.col("members") > LEAF))
         beyond = not crowded.isEmpty()
@@ -384,7 +390,7 @@ def connected(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], per
         if sets is None:
             # whoever may be linked at this level, or be compared further down
             sets = sets_of(groups.select("cls").unionAll(crowded.select("cls")).distinct())
-        found = group_links(groups, sets, percent)
+        found = group_links(small(groups) if level else groups, sets, percent)
         if more:
             pairs = stored(with_pivots(crowded, tokens, percent))
             found = found.unionAll(confirmed(pairs, sets, percent))
@@ -395,8 +401,6 @@ def connected(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], per
         if labels is None or pending * RELABEL > classes.count() or (pending and not more):
             labels, pending = stored(components(links).select(
                 F.col("node").alias("cls"), F.col("root").alias("label"))), 0
-            if more:
-                crowded = mixed_nodes(crowded.select("node", "cls"), labels)
         if not more:
             break
         nodes = crowded.join(tokens.select("cls", "sig"), "cls").select(

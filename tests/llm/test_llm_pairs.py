@@ -225,9 +225,10 @@ def test_crowded_node_compares_all_but_its_main_component(spark, monkeypatch):
     monkeypatch.setattr(chosen_path, "LEAF", 16)
     label = {f"m{i}": "main" for i in range(600)} | {f"s{i}": "side" for i in range(30)} | {
         f"o{i}": f"o{i}" for i in range(10)}
-    nodes = spark.createDataFrame([(7, c.encode(), x.encode(), len(label)) for c, x in label.items()],
-                                  "node long, cls binary, label binary, members long")
-    rows = chosen_path.tiles(nodes).collect()
+    nodes = spark.createDataFrame([(7, c.encode()) for c in label], "node long, cls binary")
+    labels = spark.createDataFrame([(c.encode(), x.encode()) for c, x in label.items() if c != x],
+                                   "cls binary, label binary")
+    rows = chosen_path.tiles(chosen_path.mixed_nodes(nodes, labels)).collect()
     # the 40 others meet every block, the main component only their three
     assert len(rows) == 600 * 3 + 40 * (38 + 3)
     held = {}
