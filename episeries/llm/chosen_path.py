@@ -401,6 +401,8 @@ def connected(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], per
         if labels is None or pending * RELABEL > classes.count() or (pending and not more):
             labels, pending = stored(components(links).select(
                 F.col("node").alias("cls"), F.col("root").alias("label"))), 0
+            if more:
+                crowded = mixed_nodes(crowded.select("node", "cls"), labels)
         if not more:
             break
         nodes = crowded.join(tokens.select("cls", "sig"), "cls").select(
